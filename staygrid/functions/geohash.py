@@ -53,6 +53,15 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
+def shr(v, n) -> Column:
+    """Arithmetic right shift by an int or a Column amount."""
+    return F.call_function("shiftright", _col(v), _c(n))
+
+
+def shl(v, n) -> Column:
+    return F.call_function("shiftleft", _col(v), _c(n))
+
+
 def lng_bits(bits):
     return (bits + 1) // 2 if isinstance(bits, int) else F.shiftright(bits + 1, 1)
 
@@ -163,7 +172,7 @@ def cell_bounds(x, y, bits) -> dict[str, Column]:
 
 def prefix_code(code, from_bits, to_bits) -> Column:
     """Code of the enclosing cell with ``to_bits`` (<= from_bits) bits."""
-    return F.shiftright(_col(code), _c(from_bits) - _c(to_bits))
+    return shr(code, _c(from_bits) - _c(to_bits))
 
 
 # ---------------------------------------------------------------- DataFrame helpers

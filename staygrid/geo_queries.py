@@ -1,0 +1,123 @@
+"""Registered geo and profiling jobs over the driver tables (see sources.surrogates)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from staygrid.operators import geo_boxes as gb
+from staygrid.operators import geo_cells as gc
+from staygrid.operators import geo_cover as gv
+from staygrid.operators import geo_search as gs
+from staygrid.operators.profile import column_profile
+from staygrid.registry import register, round6
+from staygrid.sources import surrogates as sg
+from staygrid.sources.readers import driver_table
+
+QUARANTINE_LINE_NULL, QUARANTINE_LINE_NAN = 7, 6
+
+
+@register("geohash_cell_counts")
+def q_geohash_cell_counts(spark, sf_dir):
+    return gc.cell_counts(sg.points(spark, sf_dir), precision=4)
+
+
+@register("cell_rollup")
+def q_cell_rollup(spark, sf_dir):
+    tagged = gc.tag_cells(sg.points(spark, sf_dir), precision=5)
+    return gc.cell_rollup(tagged, "geohash", precisions=(1, 2, 3, 4, 5))
+
+
+@register("cell_bounds")
+def q_cell_bounds(spark, sf_dir):
+    return gc.cell_bounds(sg.hotels(spark, sf_dir), "geohash")
+
+
+@register("cell_neighbors")
+def q_cell_neighbors(spark, sf_dir):
+    return gc.cell_neighbors(sg.hotels(spark, sf_dir), "geohash")
+
+
+@register("points_in_boxes")
+def q_points_in_boxes(spark, sf_dir):
+    pts = sg.points(spark, sf_dir).select("id", "lat", "lng")
+    return gb.points_in_boxes(pts, sg.boxes(spark, sf_dir))
+
+
+@register("boxes_intersect")
+def q_boxes_intersect(spark, sf_dir):
+    b = sg.boxes(spark, sf_dir)
+    return gb.boxes_intersect(b, b).filter(F.col("a_id") < F.col("b_id"))
+
+
+@register("geo_extent")
+def q_geo_extent(spark, sf_dir):
+    pts = sg.points(spark, sf_dir).withColumn("grp", F.col("id") % 97)
+    return gb.geo_extent(pts, "grp")
+
+
+@register("enclosing_cell")
+def q_enclosing_cell(spark, sf_dir):
+    return gc.enclosing_cell(sg.points(spark, sf_dir), "group_id")
+
+
+@register("cell_steps")
+def q_cell_steps(spark, sf_dir):
+    out = gc.cell_steps(sg.points(spark, sf_dir), "group_id", "ts", bits=40, tie="id")
+    return out.select("group_id", "ts", "id", "cell_code", "step")
+
+
+@register("cell_grid")
+def q_cell_grid(spark, sf_dir):
+    return gv.cell_grid(sg.boxes(spark, sf_dir), precision=3).select("box_id", "geohash")
+
+
+def raw_points(spark, sf_dir):
+    """Readings with unusable coordinates: NULL, NaN and out-of-range values."""
+    li = driver_table(spark, sf_dir, "lineitem")
+    lat = F.when(F.col("l_linenumber") == QUARANTINE_LINE_NULL, F.lit(None).cast("double")).otherwise(
+        (F.col("l_quantity") - F.lit(25.0)) * F.lit(4.0))
+    lng = F.when(F.col("l_linenumber") == QUARANTINE_LINE_NAN, F.lit(float("nan"))).otherwise(
+        F.col("l_discount") * F.lit(4000.0) - F.lit(200.0))
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+                     lat.alias("lat"), lng.alias("lng"))
+
+
+@register("coordinate_quarantine")
+def q_coordinate_quarantine(spark, sf_dir):
+    return gb.quarantine_coordinates(raw_points(spark, sf_dir)).select("id", "reason")
+
+
+@register("box_metrics")
+def q_box_metrics(spark, sf_dir):
+    out = gb.box_metrics(sg.boxes(spark, sf_dir))
+    return round6(out, "height", "width", "center_lat", "center_lng")
+
+
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    return round6(column_profile(sg.hotel_info(spark, sf_dir), exact=True), "avg_length")
+
+
+@register("cover_cells")
+def q_cover_cells(spark, sf_dir):
+    return gv.cover_cells(sg.boxes(spark, sf_dir)).select("box_id", "bits", "cell_code", "geohash")
+
+
+@register("radius_search")
+def q_radius_search(spark, sf_dir):
+    pts = sg.points(spark, sf_dir).select("id", "lat", "lng")
+    return gs.radius_search(pts, sg.circles(spark, sf_dir), exact=True)
+
+
+@register("pair_distance")
+def q_pair_distance(spark, sf_dir):
+    s = driver_table(spark, sf_dir, "supplier").select("s_suppkey")
+    k = F.col("s_suppkey")
+    pairs = s.select(k.alias("pair_id"), sg.site_lat(k).alias("lat1"), sg.site_lng(k).alias("lng1"),
+                     sg.site_lat(k + 1).alias("lat2"), sg.site_lng(k + 1).alias("lng2"))
+    return gs.pair_distance(pairs)
+
+
+@register("sample_cells")
+def q_sample_cells(spark, sf_dir):
+    return gv.sample_cells(sg.boxes(spark, sf_dir), precision=3, n=5, seed=42)
