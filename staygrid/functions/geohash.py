@@ -88,11 +88,18 @@ def axis_index(v: Column, lo: float, span: float, nbits) -> Column:
     width = F.lit(span) / cells
     below = F.when(v < F.lit(lo) + k0 * width, _long(1)).otherwise(_long(0))
     above = F.when(v >= F.lit(lo) + (k0 + 1) * width, _long(1)).otherwise(_long(0))
-    return k0 - below + F.least(above, top - k0)
+    return F.least(k0 - below + above, top)
+
+
+_TABLE_SQL: dict[int, str] = {}
 
 
 def _table(values) -> Column:
-    return F.array(*[F.lit(v).cast("long") for v in values])
+    """The table as one array literal (a single parsed expression, folded to a constant)."""
+    key = id(values)
+    if key not in _TABLE_SQL:
+        _TABLE_SQL[key] = "array(" + ", ".join(f"{int(v)}L" for v in values) + ")"
+    return F.expr(_TABLE_SQL[key])
 
 
 def _lookup(table: list[int], idx: Column) -> Column:

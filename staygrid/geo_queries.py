@@ -23,7 +23,7 @@ def q_geohash_cell_counts(spark, sf_dir):
 
 @register("cell_rollup")
 def q_cell_rollup(spark, sf_dir):
-    tagged = gc.tag_cells(sg.points(spark, sf_dir), precision=5)
+    tagged = gc.tag_cells(sg.points(spark, sf_dir), precision=5, null_as_empty=True)
     return gc.cell_rollup(tagged, "geohash", precisions=(1, 2, 3, 4, 5))
 
 
