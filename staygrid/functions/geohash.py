@@ -131,15 +131,17 @@ def combine(x, y, bits) -> Column:
     sx, sy = _spread(_col(x).cast("long")), _spread(_col(y).cast("long"))
     even = F.shiftleft(sx, 1).bitwiseOR(sy)
     odd = sx.bitwiseOR(F.shiftleft(sy, 1))
+    known = _col(x).isNotNull() & _col(y).isNotNull()
     if isinstance(bits, int):
-        return even if bits % 2 == 0 else odd
-    return F.when(bits % 2 == 0, even).otherwise(odd)
+        return F.when(known, even if bits % 2 == 0 else odd)
+    return F.when(known, F.when(bits % 2 == 0, even).otherwise(odd))
 
 
 def split(code, bits) -> tuple[Column, Column]:
     """Inverse of ``combine``: (x, y) axis indexes of a right-aligned code column."""
     c = _col(code)
     hi, lo = _compact(F.shiftright(c, 1)), _compact(c)
+    hi, lo = F.when(c.isNotNull(), hi), F.when(c.isNotNull(), lo)
     if isinstance(bits, int):
         return (hi, lo) if bits % 2 == 0 else (lo, hi)
     even = bits % 2 == 0

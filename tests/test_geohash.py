@@ -1,0 +1,97 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from staygrid.functions import geohash as G
+from staygrid.operators import geo_cells as gc
+
+
+def bisect_hash(lat, lng, p):
+    """Independent reference: plain bisection, longitude bit first."""
+    lo_lat, hi_lat, lo_lng, hi_lng = -90.0, 90.0, -180.0, 180.0
+    code = 0
+    for i in range(5 * p):
+        if i % 2 == 0:
+            mid = (lo_lng + hi_lng) / 2
+            bit = lng >= mid
+            lo_lng, hi_lng = (mid, hi_lng) if bit else (lo_lng, mid)
+        else:
+            mid = (lo_lat + hi_lat) / 2
+            bit = lat >= mid
+            lo_lat, hi_lat = (mid, hi_lat) if bit else (lo_lat, mid)
+        code = code * 2 + int(bit)
+    return "".join(G.ALPHABET[(code >> (5 * (p - 1 - c))) & 31] for c in range(p))
+
+
+KNOWN = [(57.64911, 10.40744, 11, "u4pruydqqvj"), (42.6, -5.6, 5, "ezs42"), (0.0, 0.0, 4, "s000"),
+         (90.0, 180.0, 4, "zzzz"), (-90.0, -180.0, 4, "0000")]
+
+
+@pytest.mark.parametrize("lat,lng,p,expected", KNOWN)
+def test_known_hashes(spark, lat, lng, p, expected):
+    df = spark.createDataFrame([(lat, lng)], "lat double, lng double")
+    assert G.with_geohash(df, "lat", "lng", p, "g").first().g == expected
+
+
+def test_matches_bisection_including_edges(spark):
+    rng = random.Random(3)
+    pts = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(500)]
+    for p in (1, 4, 7, 12):
+        nlat, nlng = 5 * p // 2, (5 * p + 1) // 2
+        for k in range(0, 2 ** min(nlat, 9), 5):
+            pts.append((-90 + k * 180 / 2 ** nlat, -180 + k * 360 / 2 ** nlng))
+    df = spark.createDataFrame(pts, "lat double, lng double")
+    for p in (1, 4, 7, 12):
+        rows = G.with_geohash(df, "lat", "lng", p, "g").collect()
+        bad = [r for r in rows if r.g != bisect_hash(r.lat, r.lng, p)]
+        assert not bad, bad[:3]
+
+
+def test_unusable_points_give_null(spark):
+    df = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (91.0, 0.0), (0.0, -180.5)],
+                               "lat double, lng double")
+    assert [r.g for r in G.with_geohash(df, "lat", "lng", 4, "g").collect()] == [None] * 4
+    assert [r.g for r in G.with_geohash(df, "lat", "lng", 4, "g", null_as_empty=True).collect()] == [""] * 4
+
+
+def test_prefix_nesting_and_bounds(spark):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.uniform(-89, 89), rng.uniform(-179, 179)) for _ in range(200)],
+                               "lat double, lng double")
+    t = G.with_geohash(G.with_geohash(df, "lat", "lng", 12, "g12"), "lat", "lng", 5, "g5")
+    assert t.filter(F.substring("g12", 1, 5) != F.col("g5")).count() == 0
+    b = gc.cell_bounds(t.select(F.col("g5").alias("geohash")), "geohash")
+    j = t.join(b, t.g5 == b.geohash)
+    inside = (F.col("lat") >= F.col("south")) & (F.col("lat") < F.col("north")) & \
+             (F.col("lng") >= F.col("west")) & (F.col("lng") < F.col("east"))
+    assert j.filter(~inside).count() == 0
+
+
+def test_decode_rejects_invalid_text(spark):
+    df = spark.createDataFrame([("u4pr",), ("u4pa",), ("",), (None,)], "g string")
+    out = [r.c for r in df.select(G.geohash_to_code("g").alias("c")).collect()]
+    assert out[0] is not None and out[1:] == [None, None, None]
+
+
+def test_neighbors_are_symmetric(spark):
+    df = spark.createDataFrame([("u4pr",), ("s000",), ("ezs42",)], "geohash string")
+    n = gc.cell_neighbors(df, "geohash").collect()
+    assert len(n) == 8 + 8 + 8
+    opposite = {"N": "S", "NE": "SW", "E": "W", "SE": "NW", "S": "N", "SW": "NE", "W": "E", "NW": "SE"}
+    back = gc.cell_neighbors(spark.createDataFrame([(r.neighbor,) for r in n], "geohash string"), "geohash").collect()
+    pairs = {(r.geohash, r.direction, r.neighbor) for r in back}
+    for r in n:
+        assert (r.neighbor, opposite[r.direction], r.geohash) in pairs
+    order = [r.direction for r in n if r.geohash == "u4pr"]
+    assert sorted(order, key=["N", "NE", "E", "SE", "S", "SW", "W", "NW"].index) == \
+        ["N", "NE", "E", "SE", "S", "SW", "W", "NW"]
+
+
+def test_neighbors_wrap_longitude_and_drop_polar(spark):
+    df = spark.createDataFrame([("zzzz",)], "geohash string")  # top-right corner cell
+    dirs = {r.direction: r.neighbor for r in gc.cell_neighbors(df, "geohash").collect()}
+    assert set(dirs) == {"E", "S", "SE", "SW", "W"}
+    assert dirs["E"] == "bpbp"  # wraps across 180 deg to the westernmost column
+    kept = gc.cell_neighbors(df, "geohash", keep_polar_wrap=True).count()
+    assert kept == 8
