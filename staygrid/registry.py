@@ -119,3 +119,43 @@ def q_weather_to_json(spark, sf_dir):
     records = topic_records(sg.weather(spark, sf_dir))
     parsed = records.select(F.from_json("value", WEATHER).alias("r")).select("r.*")
     return parsed.withColumn("wthr_date", F.to_date("wthr_date"))
+
+
+# ---------------------------------------------------------------- sinks, written then read back
+
+@register("bookings_by_year_write")
+def q_bookings_by_year_write(spark, sf_dir):
+    """Valid bookings stored as Parquet partitioned by check-in year, read back."""
+    from staygrid.session import shared_dir
+    from staygrid.sources.writers import write_by_year
+    path = f"{shared_dir(spark, 'expedia_validated')}/table"
+    write_by_year(bk.clean_bookings(flagged(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@register("enrichment_publish")
+def q_enrichment_publish(spark, sf_dir):
+    """Enrichment materialised once, published as topic records (text sink standing in for
+    the broker) and as an external Parquet table; returns the parsed topic payload."""
+    from staygrid.plans.enrichment import publish_enrichment
+    from staygrid.session import shared_dir
+    from staygrid.sources.schemas import HOTELS_WEATHER
+    root = shared_dir(spark, "hotels_weather")
+    publish_enrichment(spark, enriched(spark, sf_dir), f"{root}/staging", f"{root}/external",
+                       fmt="text", topic_path=f"{root}/topic")
+    payload = spark.read.text(f"{root}/topic").select(F.from_json("value", HOTELS_WEATHER).alias("r"))
+    out = payload.select("r.*").withColumn("wthr_date", F.to_date("wthr_date"))
+    return round6(out, "avg_tmpr_f", "avg_tmpr_c")
+
+
+@register("bookings_bucketed")
+def q_bookings_bucketed(spark, sf_dir):
+    """Bookings copied into a columnar table partitioned by check-in year and bucketed by
+    hotel, then read back through the catalog."""
+    from staygrid.session import shared_dir
+    from staygrid.sources.writers import ingest_columnar
+    root = shared_dir(spark, "expedia_bucketed")
+    name = "expedia_bucketed_" + root.rsplit("-", 1)[-1]
+    src = sg.bookings(spark, sf_dir).withColumn("ci_year", F.year("srch_ci"))
+    ingest_columnar(src, name, "ci_year", "hotel_id", buckets=8, path=f"{root}/table")
+    return spark.table(name).select(*src.columns)
