@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"cover_cells", "radius_search", "pair_distance", "sample_cells"}
+ROWS_ONLY = {"radius_search", "pair_distance", "sample_cells"}
 
 
 def test_entry_runs(spark):
