@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 INFO_COLUMNS = ["id", "name", "country", "city", "address", "lat", "lng", "geohash"]
 
 
-def with_idle_days(bookings: DataFrame) -> DataFrame:
-    """Add ``idle_days``: days since the previous check-in of the same hotel (0 for the first
-    booking, for a NULL check-in, and for a booking sharing its check-in date with an
-    earlier one; among equal dates the lowest id counts as first).
+# A hotel with more bookings than this is "hot": its lag is computed without a window over
+# all of its rows. The hot list has at most total_rows / HOT_HOTEL_ROWS entries.
+HOT_HOTEL_ROWS = 2_000_000
 
-    A window over all bookings of a hotel would put a hot hotel into one task. Instead the
-    lag runs over the distinct (hotel, check-in date) pairs - at most one row per hotel and
-    calendar day - and the gap is joined back to the first booking of each pair.
-    """
+
+def _idle_expr(prev_ci) -> F.Column:
+    return F.coalesce(F.datediff("srch_ci", prev_ci), F.lit(0)).cast("int")
+
+
+def _idle_by_window(bookings: DataFrame) -> DataFrame:
+    """Plain per-hotel window (ties on the date broken by id)."""
+    w = Window.partitionBy("hotel_id").orderBy(F.col("srch_ci").asc_nulls_first(), "id")
+    return bookings.withColumn("idle_days", _idle_expr(F.lag("srch_ci").over(w)))
+
+
+def _idle_by_dates(bookings: DataFrame) -> DataFrame:
+    """Lag over the distinct (hotel, check-in date) pairs - at most one row per hotel and
+    calendar day - joined back to the first booking of each pair; the other bookings of
+    the same day get 0."""
     firsts = (bookings.groupBy("hotel_id", "srch_ci")
               .agg(F.min("id").alias("_first_id")))
-    by_date = Window.partitionBy("hotel_id").orderBy("srch_ci")
+    by_date = Window.partitionBy("hotel_id").orderBy(F.col("srch_ci").asc_nulls_first())
     gaps = firsts.withColumn("_gap", F.datediff("srch_ci", F.lag("srch_ci").over(by_date)))
     b, g = bookings.alias("b"), gaps.alias("g")
     same_day = (F.col("b.hotel_id").eqNullSafe(F.col("g.hotel_id"))
@@ -29,6 +39,25 @@ def with_idle_days(bookings: DataFrame) -> DataFrame:
     return b.join(g, same_day, "left").select("b.*", idle.alias("idle_days"))
 
 
+def with_idle_days(bookings: DataFrame, hot_rows: int = HOT_HOTEL_ROWS) -> DataFrame:
+    """Add ``idle_days``: days since the previous check-in of the same hotel (0 for the first
+    booking, for a NULL check-in, and for a booking sharing its check-in date with an
+    earlier one; among equal dates the lowest id counts as first).
+
+    Skew split: bookings are counted per hotel (map-side partial counts), hotels above
+    ``hot_rows`` bookings form a small broadcast list (at most total/hot_rows rows), and
+    only their bookings take the date-pair path; every other hotel uses one plain window,
+    i.e. a single shuffle of the bookings. A hot hotel never lands in one task whole.
+    """
+    hot = (bookings.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_rows).select(F.col("hotel_id").alias("_hot")))
+    is_hot = F.col("hotel_id").eqNullSafe(F.col("_hot"))
+    hot_b = F.broadcast(hot)
+    normal = bookings.join(hot_b, is_hot, "left_anti")
+    heavy = bookings.join(hot_b, is_hot, "left_semi")
+    return _idle_by_window(normal).unionByName(_idle_by_dates(heavy))
+
+
 def with_validity(flagged: DataFrame) -> DataFrame:
     """``is_valid`` = 0 when 2 <= idle_days < 30, else 1."""
     bad = (F.col("idle_days") >= 2) & (F.col("idle_days") < 30)

@@ -56,3 +56,13 @@ def test_counts_follow_left_join_multiplicity(spark):
     assert by_country == {"FR": 2, "DE": 1, None: 1}
     inv = bk.invalid_hotels_info(f, info).count()
     assert inv == 0
+
+
+def test_hot_hotel_path_matches_window(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.choice([1, 1, 1, 2, 3, None]), d(rng.randrange(60)) if rng.random() > 0.05 else None)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    split = {r.id: r.idle_days for r in bk.with_idle_days(df, hot_rows=50).collect()}
+    plain = {r.id: r.idle_days for r in bk.with_idle_days(df).collect()}
+    assert split == plain
