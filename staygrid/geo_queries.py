@@ -121,3 +121,27 @@ def q_pair_distance(spark, sf_dir):
 @register("sample_cells")
 def q_sample_cells(spark, sf_dir):
     return gv.sample_cells(sg.boxes(spark, sf_dir), precision=3, n=5, seed=42)
+
+
+@register("cell_heatmap")
+def q_cell_heatmap(spark, sf_dir):
+    """Dense heat map: every precision-3 cell of every box with its reading count (0 if none)."""
+    grid = gv.cell_grid(sg.boxes(spark, sf_dir), precision=3)
+    counts = gc.cell_counts(sg.points(spark, sf_dir), precision=3)
+    return gv.densify(grid, counts)
+
+
+@register("readings_per_hotel_cell")
+def q_readings_per_hotel_cell(spark, sf_dir):
+    """Readings tagged at 6 characters attached to hotel cells (4 characters) by prefix."""
+    fine = gc.tag_cells(sg.points(spark, sf_dir).select("id", "lat", "lng"), precision=6, null_as_empty=True)
+    coarse = sg.hotels(spark, sf_dir).select(F.col("id").alias("hotel_id"), F.col("geohash").alias("cell"))
+    joined = gc.cell_prefix_join(fine, coarse, "geohash", "cell", precision=4)
+    return joined.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("cell_layout")
+def q_cell_layout(spark, sf_dir):
+    """Points laid out in Z-order of their 40-bit cell (range-partitioned, sorted)."""
+    pts = sg.points(spark, sf_dir).select("id", "lat", "lng")
+    return gc.cluster_by_cell(pts, bits=40)
