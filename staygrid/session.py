@@ -57,3 +57,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (set from the session, or a
+    private folder only when none is configured). Cuts lineage; survives executor loss."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
