@@ -29,7 +29,7 @@ def parse_dates(df: DataFrame, columns=None) -> DataFrame:
     cols = [c for c in (columns or DATE_COLUMNS) if c in df.columns]
     for c in cols:
         if dict(df.dtypes)[c] == "string":
-            df = df.withColumn(c, F.try_to_date(F.col(c), F.lit("yyyy-MM-dd")))
+            df = df.withColumn(c, F.try_to_date(F.col(c), "yyyy-MM-dd"))
     return df
 
 
