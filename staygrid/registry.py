@@ -159,3 +159,31 @@ def q_bookings_bucketed(spark, sf_dir):
     src = sg.bookings(spark, sf_dir).withColumn("ci_year", F.year("srch_ci"))
     ingest_columnar(src, name, "ci_year", "hotel_id", buckets=8, path=f"{root}/table")
     return spark.table(name).select(*src.columns)
+
+
+@register("busy_hotels_orc")
+def q_busy_hotels_orc(spark, sf_dir):
+    """Q4 result stored in an ORC result table (created if absent, overwritten), read back."""
+    from staygrid.session import shared_dir
+    from staygrid.sources.schemas import RESULT_BUSY_HOTELS
+    from staygrid.sources.writers import write_result_table
+    root = shared_dir(spark, "result_busy_hotels")
+    name = "result_busy_hotels_" + root.rsplit("-", 1)[-1]
+    typed = busy_hotels(sg.bookings(spark, sf_dir)).select(
+        *[F.col(f.name).cast(f.dataType) for f in RESULT_BUSY_HOTELS.fields])
+    return write_result_table(spark, typed, name, f"{root}/table", fmt="orc")
+
+
+@register("hotels_topic_roundtrip")
+def q_hotels_topic_roundtrip(spark, sf_dir):
+    """Hotels published with the producer's key case (Id, Name, ..., GeoHash), read back as a
+    bounded topic with the declared payload schema and renamed to the table's columns."""
+    from staygrid.session import shared_dir
+    from staygrid.sources.readers import read_topic
+    from staygrid.sources.schemas import HOTELS, HOTELS_PAYLOAD
+    root = shared_dir(spark, "hotels_topic")
+    h = sg.hotels(spark, sf_dir)
+    payload = h.select(*[F.col(t.name).alias(p.name) for t, p in zip(HOTELS.fields, HOTELS_PAYLOAD.fields)])
+    topic_records(payload).select("value").write.text(f"{root}/topic")
+    back = read_topic(spark, HOTELS_PAYLOAD, fmt="text", path=f"{root}/topic")
+    return back.select(*[F.col(p.name).alias(t.name) for t, p in zip(HOTELS.fields, HOTELS_PAYLOAD.fields)])

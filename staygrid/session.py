@@ -64,3 +64,21 @@ def reliable_checkpoint(df):
     private folder only when none is configured). Cuts lineage; survives executor loss."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class utc_session:
+    """Run a block with the session time zone set to UTC (event-time windows are UTC days),
+    restoring the caller's setting afterwards."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.prev = None
+
+    def __enter__(self):
+        self.prev = self.spark.conf.get("spark.sql.session.timeZone")
+        self.spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return self.spark
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.session.timeZone", self.prev)
+        return False

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staygrid.registry import register, round6
-from staygrid.session import shared_dir
+from staygrid.session import shared_dir, utc_session
 from staygrid.sources import surrogates as sg
 from staygrid.streaming import jobs
 
@@ -24,13 +24,14 @@ def _events_stream(spark, sf_dir):
 def q_stream_ingest_dedup(spark, sf_dir):
     """Every event delivered twice (two readers of the same source); the ingest keeps one
     copy per event_id and writes it partitioned by day."""
-    both = _events_stream(spark, sf_dir).unionByName(_events_stream(spark, sf_dir))
-    timed = jobs.event_time(both, "ts")
-    dedup = jobs.dedup_within_watermark(timed, ["event_id"], "event_ts", WATERMARK_DELAY)
-    out = dedup.withColumn("d", F.to_date("ts"))
     root = shared_dir(spark, "stream_ingest_dedup")
-    q = jobs.ingest(out.drop("event_ts"), f"{root}/out", f"{root}/ckpt", ["d"])
-    q.awaitTermination()
+    with utc_session(spark):
+        both = _events_stream(spark, sf_dir).unionByName(_events_stream(spark, sf_dir))
+        timed = jobs.event_time(both, "ts")
+        dedup = jobs.dedup_within_watermark(timed, ["event_id"], "event_ts", WATERMARK_DELAY)
+        out = dedup.withColumn("d", F.to_date("ts"))
+        q = jobs.ingest(out.drop("event_ts"), f"{root}/out", f"{root}/ckpt", ["d"])
+        q.awaitTermination()
     cols = [c for c in spark.read.parquet(f"{sf_dir.rstrip('/')}/{EVENTS_GLOB}").columns]
     return spark.read.parquet(f"{root}/out").select(*cols)
 
@@ -39,20 +40,22 @@ def q_stream_ingest_dedup(spark, sf_dir):
 def q_stream_enrich_daily(spark, sf_dir):
     """Event values as readings located near hotel ``user_id``'s site, averaged per hotel
     and day; only days closed by the watermark are emitted."""
-    ev = jobs.event_time(_events_stream(spark, sf_dir), "ts")
-    u = F.col("user_id")
-    readings = ev.select("event_ts", "value",
-                         (sg.site_lat(u) + F.lit(READING_LAT_SHIFT)).alias("lat"), sg.site_lng(u).alias("lng"))
-    daily = jobs.daily_cell_enrichment(readings, sg.hotels(spark, sf_dir), "event_ts", "value",
-                                       WATERMARK_DELAY)
     root = shared_dir(spark, "stream_enrich_daily")
-    q = (daily.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start(f"{root}/out"))
-    q.awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    return round6(out.select("hotel_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                             F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                             "avg_value", F.col("n").cast("long")), "avg_value")
+    with utc_session(spark):
+        ev = jobs.event_time(_events_stream(spark, sf_dir), "ts")
+        u = F.col("user_id")
+        readings = ev.select("event_ts", "value",
+                             (sg.site_lat(u) + F.lit(READING_LAT_SHIFT)).alias("lat"), sg.site_lng(u).alias("lng"))
+        daily = jobs.daily_cell_enrichment(readings, sg.hotels(spark, sf_dir), "event_ts", "value",
+                                           WATERMARK_DELAY)
+        # window bounds leave the stream as UTC wall-clock values
+        flat = daily.select("hotel_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                            F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                            "avg_value", F.col("n").cast("long").alias("n"))
+        q = (flat.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start(f"{root}/out"))
+        q.awaitTermination()
+    return round6(spark.read.parquet(f"{root}/out"), "avg_value")
 
 
 @register("stream_publish")
