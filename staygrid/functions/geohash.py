@@ -184,20 +184,110 @@ def prefix_code(code, from_bits, to_bits) -> Column:
     return shr(code, _c(from_bits) - _c(to_bits))
 
 
+# ---------------------------------------------------------------- SQL-text builders
+# The DataFrame helpers below build each cell expression as one SQL string (one parsed
+# expression per column) instead of hundreds of Column calls; the arithmetic is the same
+# as in the Column functions above, operation for operation.
+
+def _n(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _d(v: float) -> str:
+    return repr(float(v)) + "D"
+
+
+def _bits_sql(bits) -> str:
+    return str(int(bits)) if isinstance(bits, int) else _n(bits)
+
+
+def lng_bits_sql(bits) -> str:
+    return str((bits + 1) // 2) if isinstance(bits, int) else f"shiftright({_n(bits)} + 1, 1)"
+
+
+def lat_bits_sql(bits) -> str:
+    return str(bits // 2) if isinstance(bits, int) else f"shiftright({_n(bits)}, 1)"
+
+
+def valid_point_sql(lat: str, lng: str) -> str:
+    return (f"({lat} IS NOT NULL AND {lng} IS NOT NULL AND NOT isnan({lat}) AND NOT isnan({lng}) "
+            f"AND abs({lat}) <= 90.0D AND abs({lng}) <= 180.0D)")
+
+
+def axis_index_sql(v: str, lo: float, span: float, nbits_sql: str) -> str:
+    cells = f"pow(2.0D, {nbits_sql})"
+    top = f"CAST({cells} - 1 AS BIGINT)"
+    k0 = f"least(greatest(CAST(floor(({v} - {_d(lo)}) / {_d(span)} * {cells}) AS BIGINT), 0L), {top})"
+    width = f"({_d(span)} / {cells})"
+    below = f"(CASE WHEN {v} < {_d(lo)} + {k0} * {width} THEN 1L ELSE 0L END)"
+    above = f"(CASE WHEN {v} >= {_d(lo)} + ({k0} + 1) * {width} THEN 1L ELSE 0L END)"
+    return f"least({k0} - {below} + {above}, {top})"
+
+
+def _table_sql(values) -> str:
+    key = id(values)
+    if key not in _TABLE_SQL:
+        _TABLE_SQL[key] = "array(" + ", ".join(f"{int(v)}L" for v in values) + ")"
+    return _TABLE_SQL[key]
+
+
+def _spread_sql(v: str) -> str:
+    t = _table_sql(_SPREAD8)
+    parts = [f"shiftleft(element_at({t}, CAST((shiftright({v}, {8 * j}) & 255L) + 1 AS INT)), {16 * j})"
+             for j in range(4)]
+    return "(" + " | ".join(parts) + ")"
+
+
+def _compact_sql(v: str) -> str:
+    t = _table_sql(_EVEN4)
+    parts = [f"shiftleft(element_at({t}, CAST((shiftright({v}, {8 * j}) & 255L) + 1 AS INT)), {4 * j})"
+             for j in range(8)]
+    return "(" + " | ".join(parts) + ")"
+
+
+def combine_sql(x: str, y: str, bits) -> str:
+    sx, sy = _spread_sql(f"CAST({_n(x)} AS BIGINT)"), _spread_sql(f"CAST({_n(y)} AS BIGINT)")
+    even, odd = f"(shiftleft({sx}, 1) | {sy})", f"({sx} | shiftleft({sy}, 1))"
+    body = ((even if bits % 2 == 0 else odd) if isinstance(bits, int)
+            else f"CASE WHEN {_n(bits)} % 2 = 0 THEN {even} ELSE {odd} END")
+    return f"CASE WHEN {_n(x)} IS NOT NULL AND {_n(y)} IS NOT NULL THEN {body} END"
+
+
+def split_sql(code: str, bits) -> tuple[str, str]:
+    c = _n(code)
+    hi = f"CASE WHEN {c} IS NOT NULL THEN {_compact_sql(f'shiftright({c}, 1)')} END"
+    lo = f"CASE WHEN {c} IS NOT NULL THEN {_compact_sql(c)} END"
+    if isinstance(bits, int):
+        return (hi, lo) if bits % 2 == 0 else (lo, hi)
+    even = f"{_n(bits)} % 2 = 0"
+    return (f"CASE WHEN {even} THEN {hi} ELSE {lo} END", f"CASE WHEN {even} THEN {lo} ELSE {hi} END")
+
+
+def code_to_geohash_sql(code: str, precision) -> str:
+    p = str(int(precision)) if isinstance(precision, int) else _n(precision)
+    return f"lpad(translate(conv(CAST({_n(code)} AS STRING), 10, 32), '{_CONV32}', '{ALPHABET}'), {p}, '0')"
+
+
 # ---------------------------------------------------------------- DataFrame helpers
 
 def with_cell_xy(df: DataFrame, lat: str, lng: str, bits, x: str = "_cx", y: str = "_cy") -> DataFrame:
-    cx, cy = cell_xy(F.col(lat), F.col(lng), bits)
-    return df.withColumns({x: cx, y: cy})
+    """Add the cell's axis indexes (NULL for unusable points); ``bits`` is an int or the
+    name of an int column."""
+    la, ln = _n(lat), _n(lng)
+    ok = valid_point_sql(la, ln)
+    xs = f"CASE WHEN {ok} THEN {axis_index_sql(ln, -180.0, 360.0, lng_bits_sql(bits))} END"
+    ys = f"CASE WHEN {ok} THEN {axis_index_sql(la, -90.0, 180.0, lat_bits_sql(bits))} END"
+    return df.withColumns({x: F.expr(xs), y: F.expr(ys)})
 
 
 def with_cell_code(df: DataFrame, lat: str, lng: str, bits, out: str = "cell_code") -> DataFrame:
-    """Add the right-aligned Z-order code of the ``bits``-bit cell (bits <= 60)."""
+    """Add the right-aligned Z-order code of the ``bits``-bit cell (bits <= 60; an int or
+    the name of an int column)."""
     if isinstance(bits, int) and not 0 <= bits <= MAX_BITS:
         raise ValueError(f"bits must be in 0..{MAX_BITS}, got {bits}")
-    staged = with_cell_xy(df, lat, lng, bits, "_cx_" + out, "_cy_" + out)
-    return (staged.withColumn(out, combine("_cx_" + out, "_cy_" + out, bits))
-                  .drop("_cx_" + out, "_cy_" + out))
+    cx, cy = "_cx_" + out, "_cy_" + out
+    staged = with_cell_xy(df, lat, lng, bits, cx, cy)
+    return staged.withColumn(out, F.expr(combine_sql(cx, cy, bits))).drop(cx, cy)
 
 
 def with_geohash(df: DataFrame, lat: str, lng: str, precision: int, out: str = "geohash",
@@ -213,12 +303,18 @@ def with_geohash(df: DataFrame, lat: str, lng: str, precision: int, out: str = "
     if not 1 <= p <= MAX_CHARS:
         raise ValueError(f"geohash precision must be in 1..{MAX_CHARS}, got {precision}")
     tmp = "_code_" + out
-    text = code_to_geohash(tmp, p)
+    text = code_to_geohash_sql(tmp, p)
     if null_as_empty:
-        text = F.coalesce(text, F.lit(""))
-    return with_cell_code(df, lat, lng, 5 * p, tmp).withColumn(out, text).drop(tmp)
+        text = f"coalesce({text}, '')"
+    return with_cell_code(df, lat, lng, 5 * p, tmp).withColumn(out, F.expr(text)).drop(tmp)
 
 
 def with_split(df: DataFrame, code: str, bits, x: str, y: str) -> DataFrame:
-    cx, cy = split(code, bits)
-    return df.withColumns({x: cx, y: cy})
+    """Add the axis indexes of a code column; ``bits`` is an int or an int column name."""
+    xs, ys = split_sql(code, bits)
+    return df.withColumns({x: F.expr(xs), y: F.expr(ys)})
+
+
+def with_combined(df: DataFrame, x: str, y: str, bits, out: str) -> DataFrame:
+    """Add the code interleaved from axis-index columns ``x`` and ``y``."""
+    return df.withColumn(out, F.expr(combine_sql(x, y, bits)))
