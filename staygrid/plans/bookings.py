@@ -39,22 +39,37 @@ def _idle_by_dates(bookings: DataFrame) -> DataFrame:
     return b.join(g, same_day, "left").select("b.*", idle.alias("idle_days"))
 
 
+# Hot hotels named inline in the plan; a longer list is joined as a broadcast table.
+MAX_LISTED_HOT = 1000
+
+
 def with_idle_days(bookings: DataFrame, hot_rows: int = HOT_HOTEL_ROWS) -> DataFrame:
     """Add ``idle_days``: days since the previous check-in of the same hotel (0 for the first
     booking, for a NULL check-in, and for a booking sharing its check-in date with an
     earlier one; among equal dates the lowest id counts as first).
 
-    Skew split: bookings are counted per hotel (map-side partial counts), hotels above
-    ``hot_rows`` bookings form a small broadcast list (at most total/hot_rows rows), and
-    only their bookings take the date-pair path; every other hotel uses one plain window,
-    i.e. a single shuffle of the bookings. A hot hotel never lands in one task whole.
+    Skew split: one small job counts bookings per hotel (map-side partial counts) and lists
+    the hotels above ``hot_rows`` bookings - at most total/hot_rows of them. Without hot
+    hotels the result is one plain per-hotel window (a single shuffle of the bookings).
+    Otherwise only the hot hotels' bookings take the date-pair path, so a hot hotel never
+    lands in one task whole; a short hot list is inlined, a long one broadcast.
     """
-    hot = (bookings.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(F.col("hotel_id").alias("_hot")))
-    is_hot = F.col("hotel_id").eqNullSafe(F.col("_hot"))
-    hot_b = F.broadcast(hot)
-    normal = bookings.join(hot_b, is_hot, "left_anti")
-    heavy = bookings.join(hot_b, is_hot, "left_semi")
+    counts = bookings.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(F.col("hotel_id").alias("_hot"))
+    listed = [r["_hot"] for r in hot.limit(MAX_LISTED_HOT + 1).collect()]
+    if not listed:
+        return _idle_by_window(bookings)
+    if len(listed) <= MAX_LISTED_HOT:
+        ids = [h for h in listed if h is not None]
+        is_hot = F.col("hotel_id").isin(ids) if ids else F.lit(False)
+        if None in listed:
+            is_hot = is_hot | F.col("hotel_id").isNull()
+        is_hot = F.coalesce(is_hot, F.lit(False))
+        return _idle_by_window(bookings.filter(~is_hot)).unionByName(_idle_by_dates(bookings.filter(is_hot)))
+    match = F.col("hotel_id").eqNullSafe(F.col("_hot"))
+    hot_b = F.broadcast(hot)   # size-bounded: at most total rows / hot_rows entries
+    normal = bookings.join(hot_b, match, "left_anti")
+    heavy = bookings.join(hot_b, match, "left_semi")
     return _idle_by_window(normal).unionByName(_idle_by_dates(heavy))
 
 

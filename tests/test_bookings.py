@@ -66,3 +66,17 @@ def test_hot_hotel_path_matches_window(spark):
     split = {r.id: r.idle_days for r in bk.with_idle_days(df, hot_rows=50).collect()}
     plain = {r.id: r.idle_days for r in bk.with_idle_days(df).collect()}
     assert split == plain
+
+
+def test_hot_hotel_broadcast_path_matches_window(spark):
+    rng = random.Random(13)
+    rows = [(i, rng.randrange(40) if rng.random() > 0.1 else None, d(rng.randrange(90))) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    old = bk.MAX_LISTED_HOT
+    try:
+        bk.MAX_LISTED_HOT = 2          # force the broadcast form of the split
+        split = {r.id: r.idle_days for r in bk.with_idle_days(df, hot_rows=5).collect()}
+    finally:
+        bk.MAX_LISTED_HOT = old
+    plain = {r.id: r.idle_days for r in bk.with_idle_days(df).collect()}
+    assert split == plain
