@@ -49,3 +49,17 @@ def op10_source_mix(spark, sf_dir):
     from staygrid.llm.mixing import mix_report
 
     return mix_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash(spark, sf_dir):
+    from staygrid.llm.simhash import fingerprint_report
+
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_disclosure(spark, sf_dir):
+    from staygrid.llm.disclosure import span_report
+
+    return span_report(table(spark, sf_dir, "documents"))
