@@ -63,3 +63,10 @@ def op4_disclosure(spark, sf_dir):
     from staygrid.llm.disclosure import span_report
 
     return span_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    from staygrid.llm.toxicity import score_report
+
+    return score_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
