@@ -70,3 +70,12 @@ def op2_toxicity(spark, sf_dir):
     from staygrid.llm.toxicity import score_report
 
     return score_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_multiprobe(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from staygrid.llm.multiprobe import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
