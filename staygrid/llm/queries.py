@@ -79,3 +79,10 @@ def op5_multiprobe(spark, sf_dir):
     from staygrid.llm.multiprobe import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op9_hidden_markov(spark, sf_dir):
+    from staygrid.llm.hidden_markov import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
