@@ -86,3 +86,10 @@ def op9_hidden_markov(spark, sf_dir):
     from staygrid.llm.hidden_markov import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_probminhash(spark, sf_dir):
+    from staygrid.llm.probminhash import class_report
+
+    return class_report(table(spark, sf_dir, "documents"))
