@@ -31,7 +31,7 @@ from staygrid.llm.common import stored
 TABLES = 4
 HASHES = 16
 WIDTH = 1.0
-VISIT = 0.12
+VISIT = 0.17
 BLOCK_ROWS = 8192
 QUERY_ROWS = 4096
 FOUND = "query_id long, vec_id long, score double"
