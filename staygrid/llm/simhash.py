@@ -47,7 +47,7 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str = "text") -> DataFr
     (64 bits each). Rows with equal keys must have equal texts."""
     # The second hash is a remix of the first, so each window of words is hashed once.
     terms = rows.select(*keys, F.posexplode_outer(term_hashes(F.col(text), 7)).alias("_pos", "_a"))
-    terms = terms.withColumn("_b", F.xxhash64(F.lit(11), "_a")).withColumn(
+    terms = terms.withColumn("_b", F.when(F.col("_a").isNotNull(), F.xxhash64(F.lit(11), "_a"))).withColumn(
         "_first", F.when(F.coalesce("_pos", F.lit(0)) == 0, 1).otherwise(0))
     lane = lambda c, i: F.shiftrightunsigned(c, i).bitwiseAND(F.lit(_LANES))
     sums = [F.sum(lane(c, i)).alias(f"{c}{i}") for c in ("_a", "_b") for i in range(32)]
