@@ -8,116 +8,82 @@ from pyspark.sql import functions as F
 INFO_COLUMNS = ["id", "name", "country", "city", "address", "lat", "lng", "geohash"]
 
 
-# A hotel with more bookings than this is "hot": its lag is computed without a window over
-# all of its rows. The hot list has at most total_rows / HOT_HOTEL_ROWS entries.
-HOT_HOTEL_ROWS = 2_000_000
+def _keyed(bookings: DataFrame) -> DataFrame:
+    """Hotel key without NULLs: (no hotel, hotel or 0), so that the NULL hotel is a group that
+    windows and equi-joins treat like any other."""
+    return bookings.withColumns({"_none": F.col("hotel_id").isNull(),
+                                 "_hotel": F.coalesce(F.col("hotel_id"), F.lit(0))})
 
 
-def _idle_expr(prev_ci) -> F.Column:
-    return F.coalesce(F.datediff("srch_ci", prev_ci), F.lit(0)).cast("int")
+def date_gaps(bookings: DataFrame) -> DataFrame:
+    """_none, _hotel, srch_ci, gap: a row per hotel and check-in date with the days since the
+    hotel's previous date (NULL for the first date and after a NULL date). A hotel has at most
+    a row a calendar day, however many bookings it has."""
+    dates = _keyed(bookings).select("_none", "_hotel", "srch_ci").distinct()
+    order = Window.partitionBy("_none", "_hotel").orderBy(F.col("srch_ci").asc_nulls_first())
+    return dates.withColumn("gap", F.datediff("srch_ci", F.lag("srch_ci").over(order)))
 
 
-def _idle_by_window(bookings: DataFrame) -> DataFrame:
-    """Plain per-hotel window (ties on the date broken by id)."""
-    w = Window.partitionBy("hotel_id").orderBy(F.col("srch_ci").asc_nulls_first(), "id")
-    return bookings.withColumn("idle_days", _idle_expr(F.lag("srch_ci").over(w)))
-
+def with_idle_days(bookings: DataFrame) -> DataFrame:
+    """Add ``idle_days``: days since the previous check-in of the same hotel (0 for the first
+    booking, for a NULL check-in, and for a booking sharing its check-in date with an
+    earlier one; among equal dates the lowest id counts as first, NULL lowest).
 
-def _idle_by_dates(bookings: DataFrame) -> DataFrame:
-    """Lag over the distinct (hotel, check-in date) pairs - at most one row per hotel and
-    calendar day - joined back to the first booking of each pair; the other bookings of
-    the same day get 0."""
-    firsts = (bookings.groupBy("hotel_id", "srch_ci")
-              .agg(F.min("id").alias("_first_id")))
-    by_date = Window.partitionBy("hotel_id").orderBy(F.col("srch_ci").asc_nulls_first())
-    gaps = firsts.withColumn("_gap", F.datediff("srch_ci", F.lag("srch_ci").over(by_date)))
-    b, g = bookings.alias("b"), gaps.alias("g")
-    same_day = (F.col("b.hotel_id").eqNullSafe(F.col("g.hotel_id"))
-                & F.col("b.srch_ci").eqNullSafe(F.col("g.srch_ci")))
-    idle = (F.when(F.col("b.id") == F.col("g._first_id"), F.coalesce(F.col("g._gap"), F.lit(0)))
-             .otherwise(F.lit(0)).cast("int"))
-    return b.join(g, same_day, "left").select("b.*", idle.alias("idle_days"))
+    Only the first booking of a date can have a gap, and the gap follows from the dates alone.
+    So rows are numbered per (hotel, date) and take the gap from ``date_gaps`` over the same
+    partitioning: bookings are shuffled once, and a hotel that holds most of them is as many
+    groups as it has dates."""
+    order = Window.partitionBy("_none", "_hotel", "srch_ci").orderBy(F.col("id").asc_nulls_first())
+    rows = _keyed(bookings).withColumn("_nth", F.row_number().over(order))
+    idle = F.when(F.col("_nth") == 1, F.coalesce("gap", F.lit(0))).otherwise(0).cast("int")
+    return (rows.join(date_gaps(bookings), ["_none", "_hotel", "srch_ci"], "left")
+            .select(*bookings.columns, idle.alias("idle_days")))
 
 
-# Hot hotels named inline in the plan; a longer list is joined as a broadcast table.
-MAX_LISTED_HOT = 1000
+def suspicious(gap: str) -> F.Column:
+    """A hotel that stood empty from 2 to 29 days between two check-ins."""
+    return F.coalesce(F.col(gap).between(2, 29), F.lit(False))
 
 
-def with_idle_days(bookings: DataFrame, hot_rows: int = HOT_HOTEL_ROWS) -> DataFrame:
-    """Add ``idle_days``: days since the previous check-in of the same hotel (0 for the first
-    booking, for a NULL check-in, and for a booking sharing its check-in date with an
-    earlier one; among equal dates the lowest id counts as first).
-
-    Skew split: one small job counts bookings per hotel (map-side partial counts) and lists
-    the hotels above ``hot_rows`` bookings - at most total/hot_rows of them. Without hot
-    hotels the result is one plain per-hotel window (a single shuffle of the bookings).
-    Otherwise only the hot hotels' bookings take the date-pair path, so a hot hotel never
-    lands in one task whole; a short hot list is inlined, a long one broadcast.
-    """
-    counts = bookings.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(F.col("hotel_id").alias("_hot"))
-    listed = [r["_hot"] for r in hot.limit(MAX_LISTED_HOT + 1).collect()]
-    if not listed:
-        return _idle_by_window(bookings)
-    if len(listed) <= MAX_LISTED_HOT:
-        ids = [h for h in listed if h is not None]
-        is_hot = F.col("hotel_id").isin(ids) if ids else F.lit(False)
-        if None in listed:
-            is_hot = is_hot | F.col("hotel_id").isNull()
-        is_hot = F.coalesce(is_hot, F.lit(False))
-        return _idle_by_window(bookings.filter(~is_hot)).unionByName(_idle_by_dates(bookings.filter(is_hot)))
-    match = F.col("hotel_id").eqNullSafe(F.col("_hot"))
-    hot_b = F.broadcast(hot)   # size-bounded: at most total rows / hot_rows entries
-    normal = bookings.join(hot_b, match, "left_anti")
-    heavy = bookings.join(hot_b, match, "left_semi")
-    return _idle_by_window(normal).unionByName(_idle_by_dates(heavy))
-
-
-def with_validity(flagged: DataFrame) -> DataFrame:
-    """``is_valid`` = 0 when 2 <= idle_days < 30, else 1."""
-    bad = (F.col("idle_days") >= 2) & (F.col("idle_days") < 30)
-    return flagged.withColumn("is_valid", F.when(bad, F.lit(0)).otherwise(F.lit(1)))
-
-
-def invalid_hotels(flagged: DataFrame) -> DataFrame:
-    """hotel_id of every hotel with at least one invalid gap (NULL hotel_id is a group too)."""
-    return (with_validity(flagged).groupBy("hotel_id")
-            .agg(F.min("is_valid").alias("is_valid_hotel"))
-            .filter(F.col("is_valid_hotel") == 0))
+def invalid_hotels(bookings: DataFrame) -> DataFrame:
+    """hotel_id of every hotel with a suspicious gap (the NULL hotel is a group too), from the
+    distinct dates alone."""
+    bad = date_gaps(bookings).groupBy("_none", "_hotel").agg(F.bool_or(suspicious("gap")).alias("bad")).filter("bad")
+    return bad.select(F.when(~F.col("_none"), F.col("_hotel")).alias("hotel_id"))
 
 
 def distinct_info(hotel_info: DataFrame) -> DataFrame:
     return hotel_info.select(*INFO_COLUMNS).dropDuplicates()
 
 
-def invalid_hotels_info(flagged: DataFrame, hotel_info: DataFrame) -> DataFrame:
+def invalid_hotels_info(bookings: DataFrame, hotel_info: DataFrame) -> DataFrame:
     """Descriptions of the invalid hotels; an invalid hotel without a description gives an
     all-NULL row, one with two descriptions gives two rows."""
-    bad = invalid_hotels(flagged).select("hotel_id")
+    bad = invalid_hotels(bookings)
     info = distinct_info(hotel_info)
     return bad.join(info, bad.hotel_id == info.id, "left").select(*[info[c] for c in INFO_COLUMNS])
 
 
-def clean_bookings(flagged: DataFrame) -> DataFrame:
-    """Bookings of valid hotels (rows with NULL hotel_id never match the invalid set, so they
-    stay)."""
-    bad = invalid_hotels(flagged).select("hotel_id")
-    return flagged.join(bad, "hotel_id", "left_anti").select(*flagged.columns)
-
-
-def booking_audit(flagged: DataFrame) -> DataFrame:
-    """One row: rows before and after removing invalid hotels, rows removed, invalid hotels.
-    One pass over per-hotel partial counts instead of three counting jobs."""
-    per_hotel = (with_validity(flagged).groupBy("hotel_id")
-                 .agg(F.count(F.lit(1)).alias("n"), F.min("is_valid").alias("v")))
-    kept = F.col("hotel_id").isNull() | (F.col("v") == 1)
-    out = per_hotel.agg(
-        F.sum("n").alias("rows_before"),
-        F.sum(F.when(kept, F.col("n")).otherwise(F.lit(0))).alias("rows_after"),
-        F.count_if(F.col("v") == 0).alias("invalid_hotels"))
-    return out.select(F.col("rows_before").cast("long"), F.col("rows_after").cast("long"),
-                      (F.col("rows_before") - F.col("rows_after")).cast("long").alias("rows_removed"),
-                      F.col("invalid_hotels").cast("long"))
+def clean_bookings(bookings: DataFrame) -> DataFrame:
+    """Bookings of valid hotels with their idle days (rows with NULL hotel_id never match the
+    invalid set, so they stay). Invalid hotels' rows are left out before the numbering."""
+    kept = bookings.join(invalid_hotels(bookings), "hotel_id", "left_anti").select(*bookings.columns)
+    return with_idle_days(kept)
+
+
+def booking_audit(bookings: DataFrame) -> DataFrame:
+    """One row: rows before and after removing invalid hotels, rows removed, invalid hotels;
+    from counts per hotel."""
+    counts = _keyed(bookings).groupBy("_none", "_hotel").agg(F.count(F.lit(1)).alias("n"))
+    bad = date_gaps(bookings).groupBy("_none", "_hotel").agg(F.bool_or(suspicious("gap")).alias("bad"))
+    per_hotel = counts.join(bad, ["_none", "_hotel"])
+    gone = F.col("bad") & ~F.col("_none")
+    out = per_hotel.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),
+                        F.coalesce(F.sum(F.when(gone, F.col("n"))), F.lit(0)).alias("rows_removed"),
+                        F.count_if("bad").alias("invalid_hotels"))
+    return out.select(F.col("rows_before").cast("long"),
+                      (F.col("rows_before") - F.col("rows_removed")).cast("long").alias("rows_after"),
+                      F.col("rows_removed").cast("long"), F.col("invalid_hotels").cast("long"))
 
 
 def booking_counts(clean: DataFrame, hotel_info: DataFrame, by: str) -> DataFrame:

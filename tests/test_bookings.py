@@ -19,8 +19,8 @@ def test_gap_rule_and_taint(spark):
             (6, 30, d(0)), (7, 30, d(29)),                         # gap 29 -> invalid
             (8, None, d(0)), (9, None, d(5)),                      # NULL hotel, gap 5
             (10, 40, None), (11, 40, d(3))]                        # NULL check-in -> 0
-    f = bk.with_idle_days(spark.createDataFrame(rows, SCHEMA))
-    idle = {r.id: r.idle_days for r in f.collect()}
+    f = spark.createDataFrame(rows, SCHEMA)
+    idle = {r.id: r.idle_days for r in bk.with_idle_days(f).collect()}
     assert idle == {1: 0, 2: 1, 3: 30, 4: 0, 5: 2, 6: 0, 7: 29, 8: 0, 9: 5, 10: 0, 11: 0}
     bad = {r.hotel_id for r in bk.invalid_hotels(f).collect()}
     assert bad == {20, 30, None}
@@ -47,7 +47,7 @@ def test_idle_days_equals_plain_window(spark):
 
 
 def test_counts_follow_left_join_multiplicity(spark):
-    f = bk.with_idle_days(spark.createDataFrame([(1, 1, d(0)), (2, 2, d(0)), (3, 9, d(0))], SCHEMA))
+    f = spark.createDataFrame([(1, 1, d(0)), (2, 2, d(0)), (3, 9, d(0))], SCHEMA)
     info = spark.createDataFrame(
         [(1, "a", "FR", "Paris", "x", 0.0, 0.0, "u"), (1, "a", "FR", "Lyon", "y", 0.0, 0.0, "u"),
          (2, "b", "DE", "Bonn", "z", 0.0, 0.0, "u"), (2, "b", "DE", "Bonn", "z", 0.0, 0.0, "u")],
@@ -58,25 +58,22 @@ def test_counts_follow_left_join_multiplicity(spark):
     assert inv == 0
 
 
-def test_hot_hotel_path_matches_window(spark):
-    rng = random.Random(12)
-    rows = [(i, rng.choice([1, 1, 1, 2, 3, None]), d(rng.randrange(60)) if rng.random() > 0.05 else None)
-            for i in range(300)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    split = {r.id: r.idle_days for r in bk.with_idle_days(df, hot_rows=50).collect()}
-    plain = {r.id: r.idle_days for r in bk.with_idle_days(df).collect()}
-    assert split == plain
+def test_null_and_repeated_ids(spark):
+    rows = [(1, 7, d(0)), (2, 7, d(10)), (2, 7, d(10)), (None, 7, d(31)), (5, 7, d(31))]
+    out = bk.with_idle_days(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted(((r.srch_ci, r.id is not None, r.id or 0, r.idle_days) for r in out), key=lambda r: (r[0], r[1], r[2], -r[3]))
+    assert [r[3] for r in got] == [0, 10, 0, 21, 0]
 
 
-def test_hot_hotel_broadcast_path_matches_window(spark):
-    rng = random.Random(13)
-    rows = [(i, rng.randrange(40) if rng.random() > 0.1 else None, d(rng.randrange(90))) for i in range(600)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    old = bk.MAX_LISTED_HOT
-    try:
-        bk.MAX_LISTED_HOT = 2          # force the broadcast form of the split
-        split = {r.id: r.idle_days for r in bk.with_idle_days(df, hot_rows=5).collect()}
-    finally:
-        bk.MAX_LISTED_HOT = old
-    plain = {r.id: r.idle_days for r in bk.with_idle_days(df).collect()}
-    assert split == plain
+def test_hot_hotel_is_split_by_date(spark):
+    df = spark.createDataFrame([(i, 1, d(i % 50)) for i in range(2000)], SCHEMA)
+    out = bk.with_idle_days(df)
+    assert out.filter("idle_days > 0").count() == 49
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_none" in plan and "windowspecdefinition(_none" in plan and ", srch_ci" in plan
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert bk.with_idle_days(empty).count() == 0 and bk.clean_bookings(empty).count() == 0
+    assert tuple(bk.booking_audit(empty).first()) == (0, 0, 0, 0)
