@@ -115,7 +115,34 @@ def q_pair_distance(spark, sf_dir):
     k = F.col("s_suppkey")
     pairs = s.select(k.alias("pair_id"), sg.site_lat(k).alias("lat1"), sg.site_lng(k).alias("lng1"),
                      sg.site_lat(k + 1).alias("lat2"), sg.site_lng(k + 1).alias("lng2"))
-    return gs.pair_distance(pairs)
+    return gs.pair_distance(pairs).withColumn("distance_m", F.round("distance_m", 3))
+
+
+@register("nearest_hotels")
+def q_nearest_hotels(spark, sf_dir):
+    """The three hotels nearest to each circle's centre."""
+    hotels = sg.hotels(spark, sf_dir).select("id", "lat", "lng")
+    sites = sg.circles(spark, sf_dir).select("circle_id", "lat", "lng")
+    out = gs.nearest_k(hotels, sites, k=3, point_id="id", id_col="circle_id")
+    return out.select("circle_id", "id", "rank", F.round("distance_m", 3).alias("distance_m"))
+
+
+@register("radius_cells")
+def q_radius_cells(spark, sf_dir):
+    """Points in the cells that cover each circle's box (a superset of the circle)."""
+    pts = sg.points(spark, sf_dir).select("id", "lat", "lng")
+    return gs.radius_search(pts, sg.circles(spark, sf_dir), exact=False)
+
+
+@register("cover_extent")
+def q_cover_extent(spark, sf_dir):
+    return gv.cover_extent(gv.cover_cells(sg.boxes(spark, sf_dir)))
+
+
+@register("column_profile_approx")
+def q_column_profile_approx(spark, sf_dir):
+    """The profile with HyperLogLog++ counts, bounded memory a column."""
+    return round6(column_profile(sg.hotel_info(spark, sf_dir)), "avg_length")
 
 
 @register("sample_cells")
@@ -133,11 +160,13 @@ def q_cell_heatmap(spark, sf_dir):
 
 @register("readings_per_hotel_cell")
 def q_readings_per_hotel_cell(spark, sf_dir):
-    """Readings tagged at 6 characters attached to hotel cells (4 characters) by prefix."""
+    """Readings tagged at 6 characters, counted per cell and attached to hotel cells (4 characters)
+    by prefix."""
     fine = gc.tag_cells(sg.points(spark, sf_dir).select("id", "lat", "lng"), precision=6, null_as_empty=True)
+    counts = fine.groupBy("geohash").agg(F.count(F.lit(1)).alias("readings"))
     coarse = sg.hotels(spark, sf_dir).select(F.col("id").alias("hotel_id"), F.col("geohash").alias("cell"))
-    joined = gc.cell_prefix_join(fine, coarse, "geohash", "cell", precision=4)
-    return joined.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = gc.cell_prefix_join(counts, coarse, "geohash", "cell")
+    return joined.groupBy("hotel_id").agg(F.sum("readings").alias("n"))
 
 
 @register("cell_layout")
