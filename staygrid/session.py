@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -37,13 +36,13 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the setting is absent (local runs, tests) is a private folder created.
-    """
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. On a cluster it must be set;
+    a single local JVM (tests, bench) gets a private folder where it is not."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="staygrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
@@ -52,11 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (stream state, written tables)."""
-    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh sub-folder of the shared checkpoint folder (stream state, written tables); its
+    writers create it."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def reliable_checkpoint(df):

@@ -39,22 +39,32 @@ def q_stream_ingest_dedup(spark, sf_dir):
 @register("stream_enrich_daily")
 def q_stream_enrich_daily(spark, sf_dir):
     """Event values as readings located near hotel ``user_id``'s site, averaged per hotel
-    and day; only days closed by the watermark are emitted."""
+    and day. The job runs to the source's end, then closes the days still open."""
     root = shared_dir(spark, "stream_enrich_daily")
     with utc_session(spark):
         ev = jobs.event_time(_events_stream(spark, sf_dir), "ts")
         u = F.col("user_id")
         readings = ev.select("event_ts", "value",
                              (sg.site_lat(u) + F.lit(READING_LAT_SHIFT)).alias("lat"), sg.site_lng(u).alias("lng"))
-        daily = jobs.daily_cell_enrichment(readings, sg.hotels(spark, sf_dir), "event_ts", "value",
+        whole = jobs.with_close(readings, "event_ts", f"{root}/marks", {"lat": 0.0, "lng": 0.0})
+        daily = jobs.daily_cell_enrichment(whole, sg.hotels(spark, sf_dir), "event_ts", "value",
                                            WATERMARK_DELAY)
         # window bounds leave the stream as UTC wall-clock values
         flat = daily.select("hotel_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                             F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                             "avg_value", F.col("n").cast("long").alias("n"))
-        q = (flat.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start(f"{root}/out"))
-        q.awaitTermination()
+
+        def run():
+            q = (flat.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start(f"{root}/out"))
+            q.awaitTermination()
+            return jobs.late_rows(q)
+
+        late = run()
+        jobs.close_stream(spark, "event_ts", f"{root}/marks")
+        late += run()
+    if late:
+        raise RuntimeError(f"{late} rows came later than {WATERMARK_DELAY}: widen the delay or re-run their days")
     return round6(spark.read.parquet(f"{root}/out"), "avg_value")
 
 

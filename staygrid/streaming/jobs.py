@@ -59,7 +59,8 @@ def daily_cell_enrichment(readings: DataFrame, hotels: DataFrame, ts: str, value
                           delay: str = "1 hour", precision: int = 4) -> DataFrame:
     """Readings stream joined to static hotels on the geohash cell, averaged per hotel and
     UTC day. Append mode emits a day once the watermark passes its end, so state holds only
-    open days. (Only matched readings: the dense grid with empty days stays a batch job.)"""
+    open days; ``with_close`` closes the last ones. (Only matched readings: the dense grid with
+    empty days stays a batch job.)"""
     timed = readings.withWatermark(ts, delay)
     usable = timed.filter(valid_point(F.col("lat"), F.col("lng")))
     tagged = with_geohash(usable, "lat", "lng", precision, "geohash", null_as_empty=True)
@@ -70,6 +71,30 @@ def daily_cell_enrichment(readings: DataFrame, hotels: DataFrame, ts: str, value
                     F.col("window.end").alias("window_end"), "avg_value", "n"))
 
 
+def with_close(stream: DataFrame, ts: str, marks: str, fill: dict | None = None) -> DataFrame:
+    """``stream`` together with the rows of the folder ``marks`` (a time in ``ts``, ``fill``'s values, all
+    else NULL). A mark far ahead, written by ``close_stream`` once the source has ended, moves the
+    watermark past every open window, so a last run emits them all; the mark's own window stays
+    open. ``fill`` must carry a mark through the job's filters, which Spark may apply before the
+    watermark."""
+    spark = stream.sparkSession
+    kind = T.StructType([T.StructField(ts, T.TimestampType())])
+    spark.createDataFrame([], kind).coalesce(1).write.mode("append").parquet(marks)
+    ends = spark.readStream.schema(kind).parquet(marks)
+    rest = [F.lit((fill or {}).get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema.fields if f.name != ts]
+    return stream.unionByName(ends.select(F.col(ts), *rest))
+
+
+def close_stream(spark: SparkSession, ts: str, marks: str, at: str = "9999-01-01 00:00:00") -> None:
+    spark.range(1).select(F.lit(at).cast("timestamp").alias(ts)).write.mode("append").parquet(marks)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had closed their window, over the query's progress."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
 def publish_stream(stream: DataFrame, checkpoint: str, fmt: str = "kafka", topic: str | None = None,
                    options: dict | None = None, path: str | None = None,
                    available_now: bool = True) -> StreamingQuery:
