@@ -8,31 +8,27 @@ from pyspark.sql import functions as F
 from staygrid.functions.calendar import day_offsets
 
 
-def weather_trend(bookings: DataFrame, hotels_weather: DataFrame, min_days: int = 7) -> DataFrame:
-    """visit_id, checkin, checkout, days_of_stay, checkin_tmpr, checkout_tmpr, weather_trend,
-    avg_tmpr_during_stay for stays longer than ``min_days`` days.
-
-    The check-in and check-out readings are the first and last of the stay's days, so one
-    explode (check-out day included) and one left join to the readings on (hotel, day)
-    replace the three separate lookups; the per-visit aggregate then reads them back.
-    ``hotels_weather`` holds one reading per (id, wthr_date) - the enrichment's grain.
-    """
+def _stay_days(bookings: DataFrame, min_days: int) -> DataFrame:
+    """visit_id, hotel_id, srch_ci, srch_co, days_of_stay, copies, i, day: a row for each day of each
+    distinct long stay, the check-out day included; ``copies`` counts equal bookings."""
     n = F.datediff("srch_co", "srch_ci")
     stays = (bookings.select(F.col("id").alias("visit_id"), "hotel_id", "srch_ci", "srch_co")
              .filter(n > min_days)
+             .groupBy("visit_id", "hotel_id", "srch_ci", "srch_co").agg(F.count(F.lit(1)).alias("copies"))
              .withColumn("days_of_stay", n))
-    days = (stays.withColumn("i", F.explode(day_offsets(F.col("days_of_stay"))))
+    return (stays.withColumn("i", F.explode(day_offsets(F.col("days_of_stay"))))
             .withColumn("day", F.date_add("srch_ci", F.col("i"))))
-    hw = hotels_weather.select(F.col("id").alias("hw_id"), F.col("wthr_date").alias("day"),
-                               "avg_tmpr_c")
-    joined = days.join(hw, (days.hotel_id == hw.hw_id) & (days.day == hw.day), "left")
-    t = F.col("avg_tmpr_c")
-    per_visit = (joined
-                 .groupBy("visit_id", "hotel_id", "srch_ci", "srch_co", "days_of_stay")
-                 .agg(F.max(F.when(F.col("i") == 0, t)).alias("checkin_tmpr"),
-                      F.max(F.when(F.col("i") == F.col("days_of_stay"), t)).alias("checkout_tmpr"),
+
+
+def _per_visit(days: DataFrame, t: str) -> DataFrame:
+    """The first, last and mean reading of each stay; equal bookings get a row each."""
+    first, last = F.col("i") == 0, F.col("i") == F.col("days_of_stay")
+    per_visit = (days.groupBy("visit_id", "hotel_id", "srch_ci", "srch_co", "days_of_stay", "copies")
+                 .agg(F.max(F.when(first, F.col(t))).alias("checkin_tmpr"),
+                      F.max(F.when(last, F.col(t))).alias("checkout_tmpr"),
                       F.avg(t).alias("avg_tmpr_during_stay")))
-    return per_visit.select(
+    each = per_visit.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select(
         "visit_id",
         F.date_format("srch_ci", "yyyy-MM-dd").alias("checkin"),
         F.date_format("srch_co", "yyyy-MM-dd").alias("checkout"),
@@ -40,3 +36,27 @@ def weather_trend(bookings: DataFrame, hotels_weather: DataFrame, min_days: int
         "checkin_tmpr", "checkout_tmpr",
         (F.col("checkout_tmpr") - F.col("checkin_tmpr")).alias("weather_trend"),
         "avg_tmpr_during_stay")
+
+
+def weather_trend(bookings: DataFrame, hotels_weather: DataFrame, min_days: int = 7) -> DataFrame:
+    """visit_id, checkin, checkout, days_of_stay, checkin_tmpr, checkout_tmpr, weather_trend,
+    avg_tmpr_during_stay for stays longer than ``min_days`` days.
+
+    The check-in and check-out readings are the first and last of the stay's days, so one
+    explode (check-out day included) and one left join to the readings on (hotel, day)
+    replace the three separate lookups; the per-visit aggregate then reads them back.
+    ``hotels_weather`` holds one reading per (id, wthr_date) - the enrichment's grain.
+    """
+    days = _stay_days(bookings, min_days)
+    hw = hotels_weather.select(F.col("id").alias("hw_id"), F.col("wthr_date").alias("hw_day"), "avg_tmpr_c")
+    return _per_visit(days.join(hw, (days.hotel_id == hw.hw_id) & (days.day == hw.hw_day), "left"), "avg_tmpr_c")
+
+
+def weather_trend_by_cell(bookings: DataFrame, hotels: DataFrame, cells: DataFrame, min_days: int = 7) -> DataFrame:
+    """The same from the hotels and the readings' (wthr_date, geohash) averages, without the table
+    of all hotels on all dates. ``hotels`` has one row an id."""
+    h = hotels.select(F.col("id").alias("h_id"), F.col("geohash").alias("h_cell"))
+    c = cells.select(F.col("wthr_date").alias("c_day"), F.col("geohash").alias("c_cell"), "avg_tmpr_c")
+    days = _stay_days(bookings, min_days)
+    located = days.join(h, days.hotel_id == h.h_id, "left")
+    return _per_visit(located.join(c, (located.day == c.c_day) & (located.h_cell == c.c_cell), "left"), "avg_tmpr_c")

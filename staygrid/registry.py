@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from staygrid.plans import bookings as bk
 from staygrid.plans.busy import busy_hotels
-from staygrid.plans.enrichment import enrich_hotels
-from staygrid.plans.temperature import temperature_range_topk
-from staygrid.plans.trend import weather_trend
+from staygrid.plans.enrichment import daily_cell_weather, enrich_hotels, publish_enrichment, publish_weather
+from staygrid.plans.temperature import temperature_range_by_cell, temperature_range_topk
+from staygrid.plans.trend import weather_trend_by_cell
 from staygrid.sources import surrogates as sg
-from staygrid.sources.readers import driver_table
-from staygrid.sources.schemas import WEATHER
-from staygrid.sources.writers import topic_records
+from staygrid.session import shared_dir
+from staygrid.sources.readers import driver_table, parse_dates, read_table, read_topic
+from staygrid.sources.schemas import (EXPEDIA, HOTELS, HOTELS_PAYLOAD, HOTELS_WEATHER, RESULT_BUSY_HOTELS,
+                                      RESULT_TMPR_DIFF, RESULT_WTHR_TREND, WEATHER)
+from staygrid.sources.writers import (ingest_columnar, publish_json, write_by_year, write_overwrite,
+                                      write_result_table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -47,13 +50,14 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_hotels(sg.hotels(spark, sf_dir), sg.weather(spark, sf_dir))
 
 
-def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bk.with_idle_days(sg.bookings(spark, sf_dir))
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bk.clean_bookings(sg.bookings(spark, sf_dir))
 
 
 @register("temp_range_topk")
 def q_temp_range_topk(spark, sf_dir):
-    return round6(temperature_range_topk(enriched(spark, sf_dir)), "max_tmpr_c_diff")
+    cells = daily_cell_weather(sg.weather(spark, sf_dir))
+    return round6(temperature_range_by_cell(sg.hotels(spark, sf_dir), cells), "max_tmpr_c_diff")
 
 
 @register("temp_range_topk_readings")
@@ -79,46 +83,48 @@ def q_busy_hotels(spark, sf_dir):
 
 @register("weather_trend")
 def q_weather_trend(spark, sf_dir):
-    out = weather_trend(sg.trend_bookings(spark, sf_dir), enriched(spark, sf_dir))
+    cells = daily_cell_weather(sg.weather(spark, sf_dir))
+    out = weather_trend_by_cell(sg.trend_bookings(spark, sf_dir), sg.hotels(spark, sf_dir), cells)
     return round6(out, "checkin_tmpr", "checkout_tmpr", "weather_trend", "avg_tmpr_during_stay")
 
 
 @register("idle_days")
 def q_idle_days(spark, sf_dir):
-    return flagged(spark, sf_dir)
+    return bk.with_idle_days(sg.bookings(spark, sf_dir))
 
 
 @register("invalid_hotels")
 def q_invalid_hotels(spark, sf_dir):
-    return bk.invalid_hotels_info(flagged(spark, sf_dir), sg.hotel_info(spark, sf_dir))
+    return bk.invalid_hotels_info(sg.bookings(spark, sf_dir), sg.hotel_info(spark, sf_dir))
 
 
 @register("clean_bookings")
 def q_clean_bookings(spark, sf_dir):
-    return bk.clean_bookings(flagged(spark, sf_dir))
+    return cleaned(spark, sf_dir)
 
 
 @register("booking_audit")
 def q_booking_audit(spark, sf_dir):
-    return bk.booking_audit(flagged(spark, sf_dir))
+    return bk.booking_audit(sg.bookings(spark, sf_dir))
 
 
 @register("bookings_by_country")
 def q_bookings_by_country(spark, sf_dir):
-    return bk.booking_counts(bk.clean_bookings(flagged(spark, sf_dir)), sg.hotel_info(spark, sf_dir), "country")
+    return bk.booking_counts(cleaned(spark, sf_dir), sg.hotel_info(spark, sf_dir), "country")
 
 
 @register("bookings_by_city")
 def q_bookings_by_city(spark, sf_dir):
-    return bk.booking_counts(bk.clean_bookings(flagged(spark, sf_dir)), sg.hotel_info(spark, sf_dir), "city")
+    return bk.booking_counts(cleaned(spark, sf_dir), sg.hotel_info(spark, sf_dir), "city")
 
 
 @register("weather_to_json")
 def q_weather_to_json(spark, sf_dir):
-    """Weather -> topic records -> payload parsed back with the declared schema."""
-    records = topic_records(sg.weather(spark, sf_dir))
-    parsed = records.select(F.from_json("value", WEATHER).alias("r")).select("r.*")
-    return parsed.withColumn("wthr_date", F.to_date("wthr_date"))
+    """Q1: weather published to the topic (text sink standing in for the broker), read back as
+    a bounded table with the declared schema."""
+    topic = f"{shared_dir(spark, 'weather_topic')}/topic"
+    publish_weather(sg.weather(spark, sf_dir), fmt="text", path=topic)
+    return parse_dates(read_topic(spark, WEATHER, fmt="text", path=topic))
 
 
 # ---------------------------------------------------------------- sinks, written then read back
@@ -126,64 +132,83 @@ def q_weather_to_json(spark, sf_dir):
 @register("bookings_by_year_write")
 def q_bookings_by_year_write(spark, sf_dir):
     """Valid bookings stored as Parquet partitioned by check-in year, read back."""
-    from staygrid.session import shared_dir
-    from staygrid.sources.writers import write_by_year
     path = f"{shared_dir(spark, 'expedia_validated')}/table"
-    write_by_year(bk.clean_bookings(flagged(spark, sf_dir)), path)
+    write_by_year(cleaned(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
+def published(spark, sf_dir):
+    """Q2b: the enrichment materialised once and fed to the topic and to the external table."""
+    root = shared_dir(spark, "hotels_weather")
+    external = publish_enrichment(spark, enriched(spark, sf_dir), f"{root}/staging", f"{root}/external",
+                                  fmt="text", topic_path=f"{root}/topic")
+    return external, f"{root}/topic"
+
+
 @register("enrichment_publish")
 def q_enrichment_publish(spark, sf_dir):
-    """Enrichment materialised once, published as topic records (text sink standing in for
-    the broker) and as an external Parquet table; returns the parsed topic payload."""
-    from staygrid.plans.enrichment import publish_enrichment
-    from staygrid.session import shared_dir
-    from staygrid.sources.schemas import HOTELS_WEATHER
-    root = shared_dir(spark, "hotels_weather")
-    publish_enrichment(spark, enriched(spark, sf_dir), f"{root}/staging", f"{root}/external",
-                       fmt="text", topic_path=f"{root}/topic")
-    payload = spark.read.text(f"{root}/topic").select(F.from_json("value", HOTELS_WEATHER).alias("r"))
-    out = payload.select("r.*").withColumn("wthr_date", F.to_date("wthr_date"))
-    return round6(out, "avg_tmpr_f", "avg_tmpr_c")
+    """The topic payload of the published enrichment, parsed with the declared schema."""
+    _, topic = published(spark, sf_dir)
+    return round6(parse_dates(read_topic(spark, HOTELS_WEATHER, fmt="text", path=topic)), "avg_tmpr_f", "avg_tmpr_c")
+
+
+@register("enrichment_external")
+def q_enrichment_external(spark, sf_dir):
+    """The external Parquet copy of the published enrichment, read back."""
+    external, _ = published(spark, sf_dir)
+    return round6(external, "avg_tmpr_f", "avg_tmpr_c")
 
 
 @register("bookings_bucketed")
 def q_bookings_bucketed(spark, sf_dir):
     """Bookings copied into a columnar table partitioned by check-in year and bucketed by
     hotel, then read back through the catalog."""
-    from staygrid.session import shared_dir
-    from staygrid.sources.writers import ingest_columnar
     root = shared_dir(spark, "expedia_bucketed")
-    name = "expedia_bucketed_" + root.rsplit("-", 1)[-1]
     src = sg.bookings(spark, sf_dir).withColumn("ci_year", F.year("srch_ci"))
-    ingest_columnar(src, name, "ci_year", "hotel_id", buckets=8, path=f"{root}/table")
-    return spark.table(name).select(*src.columns)
+    ingest_columnar(src, "expedia_bucketed", "ci_year", "hotel_id", buckets=8, path=f"{root}/table")
+    return spark.table("expedia_bucketed").select(*src.columns)
+
+
+@register("expedia_declared")
+def q_expedia_declared(spark, sf_dir):
+    """Bookings stored with their 20 columns and text dates, read through the declared schema,
+    dates parsed at the boundary."""
+    path = f"{shared_dir(spark, 'expedia')}/table"
+    b = sg.bookings(spark, sf_dir)
+    text = [(F.col(f.name) if f.name in b.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in EXPEDIA.fields]
+    write_overwrite(b.select(*text), path)
+    return parse_dates(read_table(spark, path, schema=EXPEDIA))
+
+
+def result_table(spark, df, name, schema):
+    """A result stored in its ORC table (created if absent, overwritten), read back."""
+    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return write_result_table(spark, typed, name, f"{shared_dir(spark, name)}/table", fmt="orc")
 
 
 @register("busy_hotels_orc")
 def q_busy_hotels_orc(spark, sf_dir):
-    """Q4 result stored in an ORC result table (created if absent, overwritten), read back."""
-    from staygrid.session import shared_dir
-    from staygrid.sources.schemas import RESULT_BUSY_HOTELS
-    from staygrid.sources.writers import write_result_table
-    root = shared_dir(spark, "result_busy_hotels")
-    name = "result_busy_hotels_" + root.rsplit("-", 1)[-1]
-    typed = busy_hotels(sg.bookings(spark, sf_dir)).select(
-        *[F.col(f.name).cast(f.dataType) for f in RESULT_BUSY_HOTELS.fields])
-    return write_result_table(spark, typed, name, f"{root}/table", fmt="orc")
+    return result_table(spark, q_busy_hotels(spark, sf_dir), "result_busy_hotels", RESULT_BUSY_HOTELS)
+
+
+@register("temp_range_orc")
+def q_temp_range_orc(spark, sf_dir):
+    return result_table(spark, q_temp_range_topk(spark, sf_dir), "result_tmpr_diff", RESULT_TMPR_DIFF)
+
+
+@register("weather_trend_orc")
+def q_weather_trend_orc(spark, sf_dir):
+    return result_table(spark, q_weather_trend(spark, sf_dir), "result_wthr_trend", RESULT_WTHR_TREND)
 
 
 @register("hotels_topic_roundtrip")
 def q_hotels_topic_roundtrip(spark, sf_dir):
     """Hotels published with the producer's key case (Id, Name, ..., GeoHash), read back as a
     bounded topic with the declared payload schema and renamed to the table's columns."""
-    from staygrid.session import shared_dir
-    from staygrid.sources.readers import read_topic
-    from staygrid.sources.schemas import HOTELS, HOTELS_PAYLOAD
     root = shared_dir(spark, "hotels_topic")
     h = sg.hotels(spark, sf_dir)
     payload = h.select(*[F.col(t.name).alias(p.name) for t, p in zip(HOTELS.fields, HOTELS_PAYLOAD.fields)])
-    topic_records(payload).select("value").write.text(f"{root}/topic")
+    publish_json(payload, fmt="text", path=f"{root}/topic")
     back = read_topic(spark, HOTELS_PAYLOAD, fmt="text", path=f"{root}/topic")
     return back.select(*[F.col(p.name).alias(t.name) for t, p in zip(HOTELS.fields, HOTELS_PAYLOAD.fields)])

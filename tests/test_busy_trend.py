@@ -38,3 +38,23 @@ def test_temperature_rank_keeps_ties_and_nulls_last(spark):
     assert sorted(out) == [(1, 1), (1, 2)]
     out3 = [(r.rank, r.hotel_id) for r in temperature_range_topk(hw, k=4).collect()]
     assert sorted(out3) == [(1, 1), (1, 2), (3, 3), (4, 4)]
+
+
+def test_trend_keeps_repeated_bookings(spark):
+    row = (1, 7, dt.date(2020, 1, 1), dt.date(2020, 1, 9), 1, 0)
+    b = spark.createDataFrame([row, row], BOOK)
+    hw = spark.createDataFrame([(7, dt.date(2020, 1, 1), 5.0)], "id long, wthr_date date, avg_tmpr_c double")
+    assert [r.checkin_tmpr for r in weather_trend(b, hw).collect()] == [5.0, 5.0]
+
+
+def test_forms_without_the_grid_equal_the_forms_over_it(spark):
+    from staygrid.plans.enrichment import daily_cell_weather, enrich_hotels
+    from staygrid.plans.temperature import temperature_range_by_cell
+    from staygrid.plans.trend import weather_trend_by_cell
+    from staygrid.sources import surrogates as sg
+    sf = "/root/testdata/sf0.001"
+    hotels, weather, bookings = sg.hotels(spark, sf), sg.weather(spark, sf), sg.trend_bookings(spark, sf)
+    cells, grid = daily_cell_weather(weather), enrich_hotels(hotels, weather)
+    bag = lambda df: sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
+    assert bag(temperature_range_by_cell(hotels, cells)) == bag(temperature_range_topk(grid))
+    assert bag(weather_trend_by_cell(bookings, hotels, cells)) == bag(weather_trend(bookings, grid))

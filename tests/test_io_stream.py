@@ -81,3 +81,41 @@ def test_stream_dedup_keeps_one_copy(spark):
     q = jobs.ingest(dedup.drop("event_ts").withColumn("d", F.to_date("ts")), f"{root}/out", f"{root}/ckpt", ["d"])
     q.awaitTermination()
     assert spark.read.parquet(f"{root}/out").count() == 20
+
+
+def test_dates_with_a_time_part_and_malformed_payloads(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from staygrid.sources.readers import parse_dates, read_topic, rejected_records
+    df = spark.createDataFrame([("2020-01-01 00:00:00",), ("2020-02-03",), ("no date",), (None,)], "srch_ci string")
+    assert [str(r[0]) for r in parse_dates(df).collect()] == ["2020-01-01", "2020-02-03", "None", "None"]
+    spark.createDataFrame([('{"a": 1}',), ("not json",), ('{"a": null}',)], "value string").coalesce(1).write.text(f"{tmp_path}/t")
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    assert sorted((r.a for r in read_topic(spark, schema, fmt="text", path=f"{tmp_path}/t").collect()), key=str) == [1, None]
+    assert [r.value for r in rejected_records(spark, schema, fmt="text", path=f"{tmp_path}/t").collect()] == ["not json"]
+
+
+def test_global_ties_are_kept_and_nulls_last(spark):
+    from staygrid.operators.topk import topk_ties, topk_ties_global
+    rows = [(i, float(v) if v is not None else None) for i, v in enumerate([9, 9, 7, 7, 7, 3, None, None])]
+    df = spark.createDataFrame(rows, "i int, v double")
+    for k in (1, 2, 3, 5, 6, 7, 9):
+        want = topk_ties(df, [F.desc_nulls_last("v")], k)
+        assert sorted(map(str, topk_ties_global(df, "v", k).collect())) == sorted(map(str, want.collect()))
+
+
+def test_checkpoint_folder_is_demanded_on_a_cluster():
+    import pytest
+
+    from staygrid.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        checkpoint_root(Session())

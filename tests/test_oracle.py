@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from staygrid.oracle import queries_sql
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -34,7 +35,7 @@ def _bag(rows, cols):
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(queries_sql()))
 def test_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
