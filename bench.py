@@ -17,32 +17,25 @@ from staygrid.registry import registry  # noqa: E402
 from staygrid.session import build_session  # noqa: E402
 
 
-def literal_forms():
-    """Reference-shaped versions of rewritten jobs (name -> callable), timed for comparison."""
-    from staygrid import registry as rg
-    from staygrid.operators import geo_cells as gc
-    from staygrid.plans import literal as lit
-    from staygrid.sources import surrogates as sg
-
-    def trend(spark, sf):
-        return lit.weather_trend_literal(sg.trend_bookings(spark, sf), rg.enriched(spark, sf))
-
-    def idle(spark, sf):
-        return lit.idle_days_literal(sg.bookings(spark, sf))
-
-    def clean(spark, sf):
-        return lit.clean_bookings_literal(lit.idle_days_literal(sg.bookings(spark, sf)))
-
-    def by_country(spark, sf):
-        c = lit.clean_bookings_literal(lit.idle_days_literal(sg.bookings(spark, sf)))
-        return lit.booking_counts_literal(c, sg.hotel_info(spark, sf), "country")
-
-    def rollup(spark, sf):
-        tagged = gc.tag_cells(sg.points(spark, sf), precision=5, null_as_empty=True)
-        return lit.cell_rollup_literal(tagged, "geohash", (1, 2, 3, 4, 5))
-
-    return {"weather_trend": trend, "idle_days": idle, "clean_bookings": clean,
-            "bookings_by_country": by_country, "cell_rollup": rollup}
+def duckdb_seconds(names, sf_dir: str, cpus: int) -> dict[str, float]:
+    """The oracle SQL of each query on DuckDB, same tables and threads: the single-node baseline."""
+    import duckdb
+
+    from staygrid.oracle import queries_sql
+
+    con = duckdb.connect()
+    con.execute(f"SET threads TO {cpus}")
+    for f in sorted(os.listdir(sf_dir)):
+        if f.endswith(".parquet"):
+            glob = "/*.parquet" if os.path.isdir(f"{sf_dir}/{f}") else ""
+            con.execute(f"CREATE VIEW {f[:-8]} AS SELECT * FROM read_parquet('{sf_dir}/{f}{glob}')")
+    out, sql = {}, queries_sql()
+    for name in names:
+        if name in sql:
+            t0 = time.time()
+            con.execute(sql[name]).fetch_arrow_table()
+            out[name] = round(time.time() - t0, 3)
+    return out
 
 
 def timed(fn, spark, sf_dir):
@@ -71,26 +64,21 @@ def main() -> None:
             times[name] = timed(fn, spark, sf_dir)
         except Exception as e:  # a failing query is reported, the others still run
             failed[name] = str(e).splitlines()[0][:200]
-    # Rewritten vs reference-shaped form, both timed warm (after the first pass above) so
-    # compilation and JIT warm-up do not favour either side.
-    literal: dict[str, float] = {}
-    rewritten: dict[str, float] = {}
-    if os.environ.get("BENCH_LITERAL", "1") == "1":
-        for name, fn in literal_forms().items():
-            if only and name not in only:
-                continue
-            try:
-                literal[name] = timed(fn, spark, sf_dir)
-                rewritten[name] = timed(registry()[name], spark, sf_dir)
-            except Exception as e:
-                failed["literal_" + name] = str(e).splitlines()[0][:200]
+    # Second pass, warm: compiled code and JIT; the figures to set against the baseline.
+    warm: dict[str, float] = {}
+    baseline: dict[str, float] = {}
+    if os.environ.get("BENCH_WARM", "1") == "1":
+        for name in times:
+            warm[name] = timed(registry()[name], spark, sf_dir)
+        try:
+            baseline = duckdb_seconds([n for n in times if n != "nearest_hotels"], sf_dir, cpus)
+        except Exception as e:
+            failed["duckdb"] = str(e).splitlines()[0][:200]
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}
-    if literal:
-        out["literal_forms"] = literal
-        out["rewritten_warm"] = rewritten
-        out["speedup_vs_literal"] = {k: round(literal[k] / rewritten[k], 2) for k in literal if rewritten.get(k)}
+    if warm:
+        out["warm"], out["duckdb_sql"] = warm, baseline
     if failed:
         out["failed"] = failed
     print(json.dumps(out))
