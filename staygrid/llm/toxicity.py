@@ -155,6 +155,64 @@ def kernel(tokens: list[str], landmarks: list[str]):
     return out
 
 
+class Expansion:
+    """The trained machine as weights on letter triples: a margin is linear in the kernel values at
+    the landmarks, and those are sums over common triples, so all landmarks fold into one table."""
+
+    def __init__(self, model: dict):
+        from itertools import combinations
+
+        import numpy as np
+
+        marks, alpha, self.bias = model["landmarks"], model["alpha"], model["bias"]
+        self.letters = np.array(sorted({ord(c) for z in marks for c in z}), dtype=np.uint32)
+        self.n = len(self.letters) + 1
+        place = {int(c): i + 1 for i, c in enumerate(self.letters)}
+        weights: dict[int, float] = {}
+        for z, a in zip(marks, alpha):
+            own = math.sqrt(max(float(self_kernel(coded([z], len(z)))[0]), 1e-12))
+            c = [place[ord(x)] for x in z]
+            for i, j, k in combinations(range(len(z)), 3):
+                t = (c[i] * self.n + c[j]) * self.n + c[k]
+                weights[t] = weights.get(t, 0.0) + float(a) / own * DECAY ** (k - i + 1)
+        self.triples = np.array(sorted(weights) or [0], dtype=np.int64)
+        self.weights = np.array([weights.get(int(t), 0.0) for t in self.triples], np.float32)
+        self.table = None
+        if self.n <= 160:  # a few MB; larger alphabets are looked up by bisection
+            self.table = np.zeros(self.n ** 3, np.float32)
+            self.table[self.triples] = self.weights
+
+    def of(self, triples):
+        import numpy as np
+
+        if self.table is not None:
+            return self.table[triples]
+        at = np.minimum(np.searchsorted(self.triples, triples), len(self.triples) - 1)
+        return np.where(self.triples[at] == triples, self.weights[at], np.float32(0))
+
+    def margins(self, tokens: list[str]):
+        """Margin of each token; tokens are taken by length, in blocks."""
+        import numpy as np
+
+        out = np.full(len(tokens), self.bias, np.float32)
+        order: dict[int, list[int]] = {}
+        for i, t in enumerate(tokens):
+            order.setdefault(len(t), []).append(i)
+        for n, at in order.items():
+            for b in range(0, len(at), 4096):
+                part = at[b:b + 4096]
+                rows = coded([tokens[i] for i in part], n)
+                code = np.minimum(np.searchsorted(self.letters, rows), max(len(self.letters) - 1, 0))
+                code = np.where(self.letters[code] == rows, code + 1, 0).astype(np.int64) if len(self.letters) else rows * 0
+                total = np.zeros(len(part), np.float32)
+                for i in range(n - 2):
+                    for k in range(i + 2, n):
+                        ends = code[:, i] * self.n * self.n + code[:, k]
+                        total += self.of(ends[:, None] + code[:, i + 1:k] * self.n).sum(1) * np.float32(DECAY ** (k - i + 1))
+                out[part] += total / np.sqrt(np.maximum(self_kernel(rows), 1e-12))
+        return out
+
+
 # ---------------------------------------------------------------- training (bounded sample)
 
 def linear_svm(x, y, weight, epochs: int = 60, cost: float = 4.0):
@@ -256,7 +314,7 @@ class Scorer:
     """Largest token margin of a text; a bounded memo keeps the margins of tokens met before."""
 
     def __init__(self, model: dict):
-        self.model, self.tokens, self.memo = model, Tokens(), {}
+        self.machine, self.tokens, self.memo = Expansion(model), Tokens(), {}
 
     def margins(self, texts: list[str]) -> list[float]:
         units = [self.tokens.of(t) for t in texts]
@@ -266,10 +324,9 @@ class Scorer:
             new = sorted(set().union(*units))
         for i in range(0, len(new), 16384):
             part = new[i:i + 16384]
-            values = kernel(part, self.model["landmarks"]) @ self.model["alpha"] + self.model["bias"]
-            self.memo.update(zip(part, values.tolist()))
+            self.memo.update(zip(part, self.machine.margins(part).tolist()))
         # a token alike no landmark has the bias alone
-        return [max(map(self.memo.__getitem__, u), default=self.model["bias"]) for u in units]
+        return [max(map(self.memo.__getitem__, u), default=self.machine.bias) for u in units]
 
 
 def document_margins(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
