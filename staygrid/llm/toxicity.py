@@ -369,9 +369,13 @@ def train(documents: DataFrame, labels: DataFrame) -> dict | None:
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")) \
         .where(crc_bucket(F.col("doc_id"), 5) != 0)
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sample = known.where("toxic = 1").orderBy(*by_hash).limit(MAX_TOXIC).unionByName(
-        known.where("toxic = 0").orderBy(*by_hash).limit(MAX_CLEAN))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    place, sample = F.xxhash64("doc_id"), known.where("false")
+    for toxic, most in ((1, MAX_TOXIC), (0, MAX_CLEAN)):
+        # a share of the hashes holds somewhat more than the rows to take, so that only these are sorted
+        share = min(1.0, (1.2 * most + 200) / max(sizes.get(toxic, 0), 1))
+        near = known.where((F.col("toxic") == toxic) & (place <= F.lit(min(2 ** 63 - 1, int(-2 ** 63 + share * 2.0 ** 64)))))
+        sample = sample.unionByName(near.orderBy(place, "doc_id").limit(most))
     rows = sample.collect()  # at most MAX_TOXIC + MAX_CLEAN pairs of numbers
     if not rows:
         return None
