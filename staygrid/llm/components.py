@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     before = _print_of(links)
     while before[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.first("a")).alias("low"))
+        low = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.min("a")).alias("low"))
         large = both.where("b > a").join(low, both["a"] == low["n"]).select(F.col("low").alias("a"), "b")
         low = large.groupBy(F.col("b").alias("n")).agg(F.min("a").alias("low"))
         small = large.join(low, large["b"] == low["n"])

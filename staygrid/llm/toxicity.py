@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import Memo, crc_bucket, text_of
+from staygrid.llm.common import Memo, crc_bucket, stored, text_of
 
 MAX_TOXIC = 4000
 MAX_CLEAN = 8000
@@ -277,15 +277,16 @@ def fit(bags: list[set[str]], strength: dict[str, float], clean: dict[str, int])
     lift = lambda ts: np.hstack([kernel(ts, marks) @ white, np.ones((len(ts), 1))])
     pos, neg = lift(tokens), lift(common)
     margin = np.array([strength[t] for t in tokens])
+    least = 1 + (len(bags) >= 100)
     for _ in range(ROUNDS):
         witness: dict[int, int] = {}
         for b in bags:
             i = max((place[t] for t in sorted(b)), key=lambda i: margin[i])
             witness[i] = witness.get(i, 0) + 1
-        at = sorted(witness)
+        # with many bags, a witness of a single one is chance
+        at = sorted(i for i in witness if witness[i] >= least)
         x = np.vstack([pos[at], neg])
         y = np.concatenate([np.ones(len(at)), -np.ones(len(common))])
-        # a witness of a single bag may be chance; clean tokens weigh as a class what witnesses do
         seen = np.array([min(witness[i], 10) for i in at], float)
         weight = np.concatenate([seen / seen.mean(), np.full(len(common), 1.0)])
         w = linear_svm(x, y, weight)
@@ -329,21 +330,24 @@ class Scorer:
         return [max(map(self.memo.__getitem__, u), default=self.machine.bias) for u in units]
 
 
-def document_margins(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
-    """``columns`` and ``margin`` of every document; the model is a few hundred kB at most."""
+MARGIN = "_toxic_margin"
+
+
+def document_margins(docs: DataFrame, model: dict, columns: list[str], text: str = "text") -> DataFrame:
+    """``columns`` and the margin of every document; the model is a few hundred kB at most."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*columns).schema.add("margin", "double")
+    schema = docs.select(*columns).schema.add(MARGIN, "double")
 
     def run(batches: Iterator):
         import pyarrow as pa
 
         scorer = Scorer(sent.value)
         for b in batches:
-            texts, made = b.column("text").to_pylist(), []
+            texts, made = b.column(text).to_pylist(), []
             for i in range(0, len(texts), 500):
                 made += scorer.margins(texts[i:i + 500])
             yield pa.RecordBatch.from_arrays([b.column(c) for c in columns] + [pa.array(made, pa.float64())],
-                                             names=[*columns, "margin"])
+                                             names=[*columns, MARGIN])
 
     return docs.mapInArrow(run, schema)
 
@@ -382,8 +386,6 @@ def train(documents: DataFrame, labels: DataFrame) -> dict | None:
     sample = documents.sparkSession.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, toxic int")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")) \
         .join(F.broadcast(sample), "doc_id")
-    from staygrid.llm.common import stored
-
     held = stored(_tokens_of(docs), "toxic_tokens")
     stats = held.groupBy("token").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     n_toxic = max(1, sum(r[1] for r in rows))
@@ -399,14 +401,15 @@ def train(documents: DataFrame, labels: DataFrame) -> dict | None:
     pairs = held.where("toxic = 1").join(F.broadcast(told.select("token")), "token").select("doc_id", "token")
     for r in pairs.collect():  # sampled documents x suspicious tokens
         bags.setdefault(r.doc_id, set()).add(r.token)
-    clean = stats.where("c > 0 AND t * 5 <= c + 5").select("token", "c")
+    # tokens about as frequent in clean documents, the common ones among them
+    clean = stats.where((F.col("c") > 0) & (F.col("t") / n_toxic <= 1.5 * F.col("c") / n_clean)).select("token", "c")
     frequent = clean.orderBy(F.desc("c"), "token").limit(3000)
     some = clean.orderBy(F.xxhash64("token"), "token").limit(5000)
     negatives = {r.token: r.c for r in frequent.unionByName(some).collect()}
     model = fit([bags[i] for i in sorted(bags)], strengths, negatives)
     if model is None:
         return None
-    seen = document_margins(docs, model, ["doc_id", "toxic"]).select("margin", "toxic").collect()
+    seen = document_margins(docs, model, ["doc_id", "toxic"]).select(F.col(MARGIN).alias("margin"), "toxic").collect()
     model["curve"] = logistic([r.margin for r in seen], [r.toxic for r in seen])
     return model
 
@@ -419,7 +422,7 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
         return docs.withColumn("score", F.lit(0.0))
     slope, offset = model["curve"]
     out = document_margins(docs, model, ["doc_id"])
-    return out.withColumn("score", 1.0 / (1.0 + F.exp(-(F.col("margin") * slope + offset))))
+    return out.withColumn("score", 1.0 / (1.0 + F.exp(-(F.col(MARGIN) * slope + offset))))
 
 
 def score_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -435,10 +438,6 @@ def reject_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     if model is None:
         return documents
     slope, offset = model["curve"]
-    columns = documents.columns
     keyed = documents.withColumn("_toxic_text", text_of())
-    if "text" in columns:
-        keyed = keyed.withColumnRenamed("text", "_toxic_kept").withColumnRenamed("_toxic_text", "text")
-        names = ["_toxic_kept" if c == "text" else c for c in columns]
-    out = document_margins(keyed, model, names).where(F.col("margin") * slope + offset < 0)
-    return out.withColumnRenamed("_toxic_kept", "text").select(*columns)
+    out = document_margins(keyed, model, documents.columns, "_toxic_text")
+    return out.where(F.col(MARGIN) * slope + offset < 0).select(*documents.columns)

@@ -155,6 +155,29 @@ def test_toxicity(docs, empty, labels):
     assert reject_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxic_rows_go_and_clean_rows_stay(spark, docs):
+    insults, plain = ["idiot", "moron", "trash"], ["river", "garden", "window", "paper", "morning", "idea", "motor"]
+    rows, marks = [], []
+    for i in range(400):
+        words = [plain[(i * 7 + k * k) % 7] for k in range(12)]
+        toxic = int(i % 4 == 0)
+        if toxic:
+            words[5] = insults[i // 4 % 3]
+        rows.append((1000 + i, " ".join(words), "s"))
+        marks.append((1000 + i, 1, toxic))
+    rows += [(5000, "you i.d.i.o.t of a river", "s"), (5001, "m o r o n in the garden", "s"), (5002, "a mor*on!", "s"),
+             (5003, "the garden by the river", "s"), (5004, None, "s"), (5005, "", "s")]
+    extra = [F.lit(i).alias(c) for i, c in enumerate(CLASH)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string") \
+        .select("doc_id", "text", F.lit("en").alias("lang"), "source", *extra).unionByName(docs)
+    kept = reject_toxic(df, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    assert kept.columns == df.columns
+    left = [r.doc_id for r in kept.collect()]
+    assert all((i in left) == (not t) for i, _, t in marks)
+    assert not {5000, 5001, 5002} & set(left) and {5003, 5004, 5005} <= set(left)
+    assert ids([{"doc_id": i} for i in left if i is None or i < 1000]) == ALL
+
+
 def test_neighbours(spark):
     rows = [(i, [math.cos(i), math.sin(i)], i) for i in range(50)]
     rows += [(50, None, 0), (51, [0.0, 0.0], 0), (52, [float("nan"), 1.0], 0), (53, [None, 1.0], 0),
