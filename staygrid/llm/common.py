@@ -71,7 +71,33 @@ BYTE_TABLE = {b: c for b, c in enumerate(byte_chars())}
 
 
 def to_byte_chars(piece: str) -> str:
+    if piece.isascii() and piece.isprintable():
+        return piece.replace(" ", BYTE_TABLE[32])
     return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_TABLE)
 
 
+class PreTokens:
+    """Matches of a byte-level pattern. Texts of Latin-1 characters whose letters, digits and spaces
+    the standard library classifies alike go through its faster engine."""
+
+    #: Latin-1 characters on which ``\\w``, ``\\d`` or ``\\s`` of the two engines differ.
+    UNLIKE = "\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe"
+
+    def __init__(self, pattern: str):
+        import regex
+
+        self.any = regex.compile(pattern).findall
+        plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
+        self.latin = None if "\\p" in plain else re.compile(plain).findall
+
+    def __call__(self, text: str) -> list[str]:
+        if self.latin is None:
+            return self.any(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.any(text)
+        return self.any(text) if any(c in text for c in self.UNLIKE) else self.latin(text)
+
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")

@@ -19,12 +19,15 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import Memo, stored, text_of, to_byte_chars
+from staygrid.llm.common import Memo, PreTokens, stored, text_of, to_byte_chars
 
 MANIFEST = "file string, part int, n_docs long, n_tokens long"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Sequences in a record batch; fixed, so a sequence's batch is found by division.
 BATCH_ROWS = 64
+#: Characters that a file holds, about. Larger files meet fewer new pre-tokens in each task and give
+#: fewer, longer runs of sequences; a task holds this much text while it sorts.
+CHARS_PER_FILE = 32_000_000
 
 
 def store_of(uri: str):
@@ -41,16 +44,18 @@ class TextEncoder:
     once; a bounded memo keeps the packed ids of the others."""
 
     def __init__(self, spec: str, pattern: str, id_type: str):
-        import numpy as np
-        import regex
+        import struct
+
         from tokenizers import Tokenizer
 
-        self.model, self.np, self.id_type = Tokenizer.from_str(spec).model, np, id_type
-        self.find = regex.compile(pattern).findall
-        self.memo = Memo(self.piece)
+        self.model, self.pack = Tokenizer.from_str(spec).model, struct.pack
+        self.code = {"<u2": "H", "<u4": "I"}[id_type]
+        self.find = PreTokens(pattern)
+        self.memo = Memo(self.piece, 600_000)
 
     def piece(self, piece: str) -> bytes:
-        return self.np.array([t.id for t in self.model.tokenize(to_byte_chars(piece))], dtype=self.id_type).tobytes()
+        ids = [t.id for t in self.model.tokenize(to_byte_chars(piece))]
+        return self.pack(f"<{len(ids)}{self.code}", *ids)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, self.find(text)))
@@ -113,10 +118,15 @@ class TokenFile:
         self.reader = pa.ipc.open_file(self.source)
         self.n = self.reader.schema.field("ids").type.list_size
         self.batches = self.reader.num_record_batches
+        self.last = {}
 
     def _flat(self, batch: int, column: int):
-        values = self.reader.get_batch(batch).column(column).flatten()
-        return values.to_numpy(zero_copy_only=column == 0)
+        """All values of a column of a batch; the last batch of each column stays open."""
+        at, flat = self.last.get(column, (-1, None))
+        if at != batch:
+            flat = self.reader.get_batch(batch).column(column).flatten().to_numpy(zero_copy_only=column == 0)
+            self.last[column] = (batch, flat)
+        return flat
 
     def sequence(self, i: int):
         """(ids, mask) of the i-th equal-length sequence."""
@@ -136,9 +146,10 @@ class TokenFile:
 
 
 def write_token_files(df: DataFrame, out_dir: str, tokenizer_path: str, pattern: str, end_id: int,
-                      seq_len: int = 2048) -> DataFrame:
+                      seq_len: int = 2048, chars_per_file: int = CHARS_PER_FILE) -> DataFrame:
     """Write all documents; returns the stored manifest (one row a file)."""
     import json
+    import math
 
     spark = df.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -188,7 +199,9 @@ def write_token_files(df: DataFrame, out_dir: str, tokenizer_path: str, pattern:
              "n_docs": [len(ids)], "n_tokens": [at]})
 
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    dealt = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    files = max(1, math.ceil(chars / chars_per_file))
+    dealt = docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
     return stored(dealt.mapInArrow(run, MANIFEST), "token_manifest")
 
 
