@@ -47,7 +47,7 @@ class Tokens:
         import re
 
         strip = re.compile(r"[\W_]+")
-        self.memo = Memo(lambda t: self.cut(strip.sub("", t)))
+        self.memo = Memo(lambda t: self.cut(strip.sub("", t)), 150_000)
 
     @staticmethod
     def cut(token: str) -> tuple[str, ...]:
@@ -320,7 +320,7 @@ class Scorer:
     def margins(self, texts: list[str]) -> list[float]:
         units = [self.tokens.of(t) for t in texts]
         new = sorted(set().union(*units).difference(self.memo)) if units else []
-        if len(self.memo) + len(new) > 400_000:
+        if len(self.memo) + len(new) > 250_000:
             self.memo.clear()
             new = sorted(set().union(*units))
         for i in range(0, len(new), 16384):
@@ -333,7 +333,7 @@ class Scorer:
 MARGIN = "_toxic_margin"
 
 
-def document_margins(docs: DataFrame, model: dict, columns: list[str], text: str = "text") -> DataFrame:
+def document_margins(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
     """``columns`` and the margin of every document; the model is a few hundred kB at most."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*columns).schema.add(MARGIN, "double")
@@ -342,12 +342,11 @@ def document_margins(docs: DataFrame, model: dict, columns: list[str], text: str
         import pyarrow as pa
 
         scorer = Scorer(sent.value)
-        for b in batches:
-            texts, made = b.column(text).to_pylist(), []
-            for i in range(0, len(texts), 500):
-                made += scorer.margins(texts[i:i + 500])
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in columns] + [pa.array(made, pa.float64())],
-                                             names=[*columns, MARGIN])
+        for whole in batches:
+            for b in (whole.slice(at, 250) for at in range(0, whole.num_rows, 250)):
+                made = scorer.margins([t or "" for t in b.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in columns] + [pa.array(made, pa.float64())],
+                                                 names=[*columns, MARGIN])
 
     return docs.mapInArrow(run, schema)
 
@@ -438,6 +437,5 @@ def reject_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     if model is None:
         return documents
     slope, offset = model["curve"]
-    keyed = documents.withColumn("_toxic_text", text_of())
-    out = document_margins(keyed, model, documents.columns, "_toxic_text")
+    out = document_margins(documents, model, documents.columns)
     return out.where(F.col(MARGIN) * slope + offset < 0).select(*documents.columns)
