@@ -123,7 +123,7 @@ def q_nearest_hotels(spark, sf_dir):
     """The three hotels nearest to each circle's centre."""
     hotels = sg.hotels(spark, sf_dir).select("id", "lat", "lng")
     sites = sg.circles(spark, sf_dir).select("circle_id", "lat", "lng")
-    out = gs.nearest_k(hotels, sites, k=3, point_id="id", id_col="circle_id")
+    out = gs.nearest_k(hotels, sites, k=3, point_id="id", id_col="circle_id", first_m=400_000.0, grow=2.5)
     return out.select("circle_id", "id", "rank", F.round("distance_m", 3).alias("distance_m"))
 
 
