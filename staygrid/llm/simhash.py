@@ -87,22 +87,28 @@ def next_ids(docs: DataFrame) -> DataFrame:
         ends.select("doc_id", "part", F.col("across").alias("next_id"))).select("doc_id", "next_id")
 
 
-def edited_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id, text, next_id, edited: the last third of the text replaced by as many first
+def edited_texts(docs: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(parts, order): the parts hold doc_id, text, edited, of documents with an id and of those without;
+    ``order`` is doc_id -> next_id. Edited: the last third of the text replaced by as many first
     characters of the next document."""
     order = next_ids(docs)
     third = lambda c: F.floor(F.length(c) / 3).cast("int")
     wants = docs.select("doc_id", third("text").alias("want")).where("want > 0") \
         .groupBy("doc_id").agg(F.max("want").alias("want")).join(order, "doc_id") \
         .select(F.col("doc_id").alias("for_id"), F.col("next_id"), "want")
-    heads = docs.join(wants, docs["doc_id"] == wants["next_id"]) \
+    # both joins take the same shuffled texts, so these rows are written once
+    named = docs.where("doc_id IS NOT NULL")
+    heads = named.join(wants, named["doc_id"] == wants["next_id"]) \
         .select("for_id", F.substring("text", F.lit(1), F.col("want")).alias("head"))
     heads = heads.groupBy("for_id").agg(F.max("head").alias("head"))
-    out = docs.join(heads, docs["doc_id"] == heads["for_id"], "left")
-    n = F.length("text")
-    edited = F.concat(F.substring("text", F.lit(1), n - third("text")),
-                      F.substring(F.coalesce("head", F.lit("")), F.lit(1), third("text")))
-    return out.select("doc_id", "text", edited.alias("edited")), order
+    out = named.join(heads, named["doc_id"] == heads["for_id"], "left")
+
+    def edited(df: DataFrame, head: Column) -> DataFrame:
+        kept = F.substring("text", F.lit(1), F.length("text") - third("text"))
+        return df.select("doc_id", "text", F.concat(kept, F.substring(head, F.lit(1), third("text"))).alias("edited"))
+
+    alone = docs.where("doc_id IS NULL")
+    return [edited(out, F.coalesce("head", F.lit(""))), edited(alone, F.lit(""))], order
 
 
 def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
@@ -140,14 +146,21 @@ def fingerprint_report(df: DataFrame, radius: int = 3, every: int = 100) -> Data
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and
     n_near for the documents whose id is divisible by ``every``: how many other documents have a
     fingerprint within ``radius`` bits."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    pairs, order = edited_texts(docs)
-    base = pairs.select("doc_id", F.xxhash64("text").alias("text_key"), F.length("text").cast("long").alias("n_chars"),
-                        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                        F.explode(F.array(F.struct(F.lit(0).alias("edit"), F.col("text").alias("text")),
-                                          F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))).alias("v"))
+    # an id that is long already keeps its name: the text shuffles of both joins then are one plan
+    is_long = dict(df.dtypes)["doc_id"] == "bigint"
+    doc_id = F.col("doc_id") if is_long else F.col("doc_id").cast("long").alias("doc_id")
+    parts, order = edited_texts(df.select(doc_id, text_of().alias("text")))
     keys = ["doc_id", "text_key", "n_chars", "edited_sha256", "edit"]
-    both = fingerprints(base.select(*keys[:-1], F.col("v.edit").alias("edit"), F.col("v.text").alias("text")), keys)
+
+    def votes(pairs: DataFrame) -> DataFrame:
+        versions = F.array(F.struct(F.lit(0).alias("edit"), F.col("text").alias("text")),
+                           F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))
+        rows = pairs.select("doc_id", F.xxhash64("text").alias("text_key"), F.length("text").cast("long").alias("n_chars"),
+                            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.explode(versions).alias("v"))
+        return fingerprints(rows.select(*keys[:-1], F.col("v.edit").alias("edit"), F.col("v.text").alias("text")), keys)
+
+    # documents with an id are partitioned by it already, so their votes are summed where they are
+    both = votes(parts[0]).unionByName(votes(parts[1]))
     pick = lambda edit, c: F.max(F.when(F.col("edit") == edit, F.col(c))).alias(f"{c}{edit}")
     one = stored(both.groupBy(*keys[:-1]).agg(F.max("rows").alias("rows"), *[
         pick(e, c) for e in (0, 1) for c in ("hi", "lo")]), "fingerprints")
