@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staygrid.llm.common import BYTE_TABLE, Memo, to_byte_chars
+from staygrid.llm.common import BYTE_TABLE, Memo, PreTokens, to_byte_chars
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,13 +52,12 @@ class Codec:
 
     def __init__(self, spec: str, pattern: str):
         import numpy as np
-        import regex
         from tokenizers import models
 
         made = json.loads(spec)
         self.np = np
         self.model = models.BPE(vocab=made["vocab"], merges=[tuple(m) for m in made["merges"]], cache_capacity=0)
-        self.find = regex.compile(pattern).findall
+        self.find = PreTokens(pattern)
         back = {c: b for b, c in BYTE_TABLE.items()}
         self.byte_of = {i: bytes(back[c] for c in t) for t, i in made["vocab"].items()}
         self.memo = Memo(self.piece)
@@ -139,10 +138,28 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out:
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip (the bytes came back whole)."""
-    docs = df.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    coded = decode(encode(docs, ranks_path, pattern), ranks_path, pattern)
-    return coded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.col("text").cast("binary")).alias("round_trip"))
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip (the bytes came back whole): each text
+    encoded and its ids decoded in one pass, so a task keeps one codec."""
+    spec = _spec(df.sparkSession, ranks_path)
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def run(batches: Iterator):
+        from hashlib import sha256
+
+        import pyarrow as pa
+
+        codec = Codec(spec.value, pattern)
+        for b in batches:
+            out = []
+            for text in b.column("text"):
+                text = text.as_py()
+                packed = codec.encode(text)
+                plain = codec.decode(packed)
+                out.append((len(packed) // 4, sha256(packed).hexdigest(), sha256(plain).hexdigest(),
+                            plain == text.encode("utf-8", "surrogatepass")))
+            cols = list(zip(*out)) or [()] * 4
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, kinds))],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
+
+    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean")
