@@ -9,7 +9,7 @@ scaled forward-backward recursion over its training texts, in windows of ``WINDO
 its expected counts, which Spark sums; their size does not grow with the corpus. A text's score is
 log10 of its exact probability: the scaled forward recursion over the whole text.
 
-Word counts cover all training texts. Counts of the ``FREQUENT`` most frequent words go to every
+Word counts cover all training texts. Counts of the most frequent words, at most ``FREQUENT``, go to every
 task; other words of a text are joined with the table of counts. Texts are those whose
 crc32(doc_id) mod 7 is not 2; a null id counts as the empty text. Null text is empty: one end token.
 Repeated rows are scored each and count each. Without training texts all counts are 0.
@@ -52,6 +52,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return stored(words.groupBy("word").agg(F.count("*").alias("c")), "word_counts")
 
 
+def most_frequent(counts: DataFrame, most: int = FREQUENT) -> list[tuple[str, int]]:
+    """At most ``most`` words, all those from some count on, greatest first. The count is chosen on a
+    histogram over logarithmic steps, so partitions send only words that are taken."""
+    step = F.floor(F.log2(F.col("c")) * 64)
+    taken, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        taken += r["count"]
+        if taken > most:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    rows = counts.where(step >= least).collect()
+    return sorted(((r["word"], r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def class_of(word: Column, rank: Column) -> Column:
     """Own class by rank among the most frequent words, else a shared one."""
     return F.coalesce(rank, F.lit(OWN) + F.crc32(word.cast("binary")) % SHARED).cast("int")
@@ -248,7 +264,7 @@ def score_documents(df: DataFrame, mod: int = 7, out: int = 2) -> DataFrame:
     n_end = docs.where("train").count()
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens, distinct = totals[0] + n_end, totals[1] + (n_end > 0)
-    frequent = [(r.word, r.c) for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
+    frequent = most_frequent(counts)
     spark = df.sparkSession
     ranked = spark.createDataFrame([(w, i) for i, (w, _) in enumerate(frequent)], "word string, rank int")
 
