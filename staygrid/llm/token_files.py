@@ -9,7 +9,7 @@ memory-mapped file gives any sequence without a copy. A second small IPC file li
 and moved into place, so a repeated task replaces its own file and nothing else.
 
 Null text counts as empty (the end id alone); rows with a null doc_id come first; repeated ids
-keep all their rows, ordered by text. An empty table gives no files and no rows.
+keep all their rows, in order of their texts' hash. An empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -201,7 +201,9 @@ def write_token_files(df: DataFrame, out_dir: str, tokenizer_path: str, pattern:
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     files = max(1, math.ceil(chars / chars_per_file))
-    dealt = docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id (or of none) are told apart by their texts' hash, so that they can be split
+    place = ["doc_id", F.xxhash64("text")]
+    dealt = docs.repartitionByRange(files, *place).sortWithinPartitions(*place)
     return stored(dealt.mapInArrow(run, MANIFEST), "token_manifest")
 
 
