@@ -84,7 +84,7 @@ class Shingler:
     def __init__(self):
         from xxhash import xxh3_64_intdigest
 
-        self.memo = Memo(xxh3_64_intdigest, 500_000)
+        self.memo = Memo(xxh3_64_intdigest, 300_000)
 
     @staticmethod
     def words(text: str) -> list[bytes]:
@@ -189,13 +189,12 @@ def digest_rows(df: DataFrame) -> DataFrame:
 
         shingler = Shingler()
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for at in range(0, len(texts), 1000):
-                words = [shingler.words(t) for t in texts[at:at + 1000]]
+            for at in range(0, b.num_rows, 500):
+                words = [shingler.words(t) for t in b.column("text").slice(at, 500).to_pylist()]
                 nodes = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
                 bands = [band_hashes(s).tolist() if len(e) else [] for s, e in shingler.sets(words)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(at, 1000), b.column("text_key").slice(at, 1000),
+                    [b.column("doc_id").slice(at, 500), b.column("text_key").slice(at, 500),
                      pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     names=["doc_id", "text_key", "node", "bands"])
 
@@ -233,7 +232,7 @@ def shingle_sets(df: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFra
         import pyarrow as pa
 
         shingler = Shingler()
-        for b in batches:
+        for b in (x.slice(at, 500) for x in batches for at in range(0, x.num_rows, 500)):
             made = shingler.sets([shingler.words(t) for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), pa.array([e.tobytes() for _, e in made], pa.binary()),
