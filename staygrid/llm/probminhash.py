@@ -1,11 +1,12 @@
 """Near-duplicate documents by ProbMinHash (operator 1).
 
 Texts are lower-cased (A-Z) words; shingles are windows of five words, a shorter text being one
-shingle, weighted ``1 + ln(occurrences)``. A signature of ``REGISTERS`` registers estimates the
-probability Jaccard similarity of two weighted sets (equal to the Jaccard similarity where weights
-are equal). Bands of ``ROWS`` registers name buckets; documents that share a bucket are candidates
-and are verified by the exact Jaccard similarity of their shingle sets, ``THRESHOLD`` or more being
-a link. Classes are the connected components of the links.
+shingle. A signature of ``REGISTERS`` registers estimates the probability Jaccard similarity of two
+weighted sets, which is the Jaccard similarity where weights are equal. Links are decided by the
+Jaccard similarity of shingle sets, so all weights are 1: candidates are drawn by the measure that
+decides. Bands of ``ROWS`` registers name buckets; documents that share a bucket are candidates and
+are verified exactly, ``THRESHOLD`` or more being a link; nothing estimated stands between. Classes
+are the connected components of the links.
 
 Equal word sequences are one node from the start, so copies cost one row each. Buckets of up to
 ``SMALL`` nodes give their pairs. Larger ones are taken in blocks in one task each, together with a few
@@ -32,9 +33,9 @@ REGISTERS, ROWS = 120, 5
 BANDS = REGISTERS // ROWS
 WORDS = 5
 THRESHOLD = 0.8
-#: Below this share of equal registers a pair at the threshold is five deviations off.
-LEAST_ESTIMATE = THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 SMALL = 16
+#: Partners from which on all sets of a block are counted in one pass.
+MANY = 12
 BLOCK = 512
 LEADERS = 8
 
@@ -91,19 +92,19 @@ class Shingler:
         return text.encode("utf-8", "surrogatepass").lower().split()
 
     def shingles(self, words: list[bytes]):
-        """Distinct shingle hashes in order, and their occurrences."""
+        """Distinct shingle hashes in order."""
         import numpy as np
 
         if not words:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64)
         w = np.fromiter(map(self.memo.__getitem__, words), dtype=np.uint64, count=len(words))
         n = max(len(w) - WORDS + 1, 1)
         h = np.zeros(n, np.uint64)
         for k in range(min(WORDS, len(w))):
             h = mix64(h * np.uint64(3) + w[k:k + n] + np.uint64(k + 1))
-        return np.unique(h, return_counts=True)
+        return np.unique(h)
 
-    def sets(self, texts: list[list[bytes]]):
+    def signed(self, texts: list[list[bytes]]):
         """Signatures of a list of texts and their shingle sets, in parts of bounded size."""
         import numpy as np
 
@@ -111,15 +112,14 @@ class Shingler:
 
         def flush():
             parts = list(made)
-            flat = np.concatenate([p[0] for p in parts])
-            weight = 1.0 + np.log(np.concatenate([p[1] for p in parts]))
-            docs = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-            out.extend(zip(signatures(flat, weight, docs, len(parts)), (p[0] for p in parts)))
+            flat = np.concatenate(parts)
+            docs = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            out.extend(zip(signatures(flat, np.ones(len(flat)), docs, len(parts)), parts))
             made.clear()
 
         for words in texts:
             made.append(self.shingles(words))
-            size += len(made[-1][0]) + REGISTERS
+            size += len(made[-1]) + REGISTERS
             if size > 400_000:
                 flush()
                 size = 0
@@ -155,21 +155,50 @@ def is_link(a, b) -> bool:
     return union > 0 and both >= THRESHOLD * union
 
 
-def linked(prints, sets, labels, left, right, allowed=None) -> list[tuple[int, int]]:
+class Overlap:
+    """Intersection sizes of one set with all of a list of sets, none empty, by one pass over them."""
+
+    def __init__(self, sets):
+        import numpy as np
+
+        self.np = np
+        self.known, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.first = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+        self.mark = np.zeros(len(self.known), np.uint8)
+
+    def sizes(self, one):
+        np = self.np
+        at = np.searchsorted(self.known, one)
+        at[at == len(self.known)] = 0
+        at = at[self.known[at] == one]
+        self.mark[at] = 1
+        out = np.add.reduceat(self.mark[self.flat], self.first, dtype=np.int64)
+        self.mark[at] = 0
+        return out
+
+
+def linked(sets, labels, left, right, allowed=None) -> list[tuple[int, int]]:
     """Links that join different labels, comparing positions ``left`` with ``right`` until all
-    pairs either carry one label or have been verified. ``allowed(i, js)`` narrows the partners."""
+    pairs either carry one label or have been verified. ``allowed(i, js)`` narrows the partners;
+    sets of unlike sizes cannot reach the threshold."""
     import numpy as np
 
-    labels, found = labels.copy(), []
+    labels, found, overlap = labels.copy(), [], None
+    size = np.array([len(s) for s in sets])
     for i in left:
-        js = right[labels[right] != labels[i]]
-        if not len(js):
-            continue
-        js = js[(prints[js] == prints[i]).mean(1) >= LEAST_ESTIMATE]
-        if allowed is not None and len(js):
-            js = js[allowed(i, js)]
+        at = np.flatnonzero(labels[right] != labels[i])
+        n = size[right[at]]
+        at = at[np.minimum(n, size[i]) >= THRESHOLD * np.maximum(n, size[i])]
+        if allowed is not None and len(at):
+            at = at[allowed(i, right[at])]
+        if len(at) >= MANY:
+            overlap = overlap or Overlap([sets[j] for j in right])
+            both = overlap.sizes(sets[i])[at]
+            js = right[at[both >= THRESHOLD * (size[i] + size[right[at]] - both)]]
+        else:
+            js = right[at]
         for j in js.tolist():
-            if labels[i] != labels[j] and is_link(sets[i], sets[j]):
+            if labels[i] != labels[j] and (len(at) >= MANY or is_link(sets[i], sets[j])):
                 found.append((i, j))
                 labels[labels == labels[j]] = labels[i]
     return found
@@ -192,7 +221,7 @@ def digest_rows(df: DataFrame) -> DataFrame:
             for at in range(0, b.num_rows, 500):
                 words = [shingler.words(t) for t in b.column("text").slice(at, 500).to_pylist()]
                 nodes = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
-                bands = [band_hashes(s).tolist() if len(e) else [] for s, e in shingler.sets(words)]
+                bands = [band_hashes(s).tolist() if len(e) else [] for s, e in shingler.signed(words)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(at, 500), b.column("text_key").slice(at, 500),
                      pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
@@ -218,8 +247,8 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
 
 
 def shingle_sets(df: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """node, shingles (sorted distinct hashes), prints (16 bits a register), bands, of the nodes in
-    buckets; stored. One text of each node is fetched again by its id and text hash."""
+    """node, shingles (sorted distinct hashes), bands, of the nodes in buckets; stored. One text of
+    each node is fetched again by its id and text hash."""
     wanted = members.select("node").distinct().join(nodes, "node") \
         .select("node", "bands", F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"))
     text = text_of()
@@ -228,20 +257,17 @@ def shingle_sets(df: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFra
         .select("node", "bands", "text")
 
     def run(batches: Iterator):
-        import numpy as np
         import pyarrow as pa
 
         shingler = Shingler()
         for b in (x.slice(at, 500) for x in batches for at in range(0, x.num_rows, 500)):
-            made = shingler.sets([shingler.words(t) for t in b.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array([e.tobytes() for _, e in made], pa.binary()),
-                 pa.array([mix64(s).astype(np.uint16).tobytes() for s, _ in made], pa.binary()), b.column("bands")],
-                names=["node", "shingles", "prints", "bands"])
+            made = [shingler.shingles(shingler.words(t)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(made, pa.binary()), b.column("bands")],
+                                             names=["node", "shingles", "bands"])
 
-    made = texts.mapInArrow(run, "node binary, shingles binary, prints binary, bands array<long>")
+    made = texts.mapInArrow(run, "node binary, shingles binary, bands array<long>")
     # a repeated row gives its node twice
-    return stored(made.groupBy("node").agg(F.max(F.struct("shingles", "prints", "bands")).alias("s"))
+    return stored(made.groupBy("node").agg(F.max(F.struct("shingles", "bands")).alias("s"))
                   .select("node", "s.*"), "near_sets")
 
 
@@ -269,9 +295,7 @@ def _arrays(table):
     import numpy as np
 
     nodes = table["node"].to_pylist()
-    sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
-    prints = np.frombuffer(b"".join(table["prints"].to_pylist()), np.uint16).reshape(len(nodes), REGISTERS)
-    return nodes, sets, prints
+    return nodes, [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
 
 
 def _links_table(nodes, found):
@@ -292,14 +316,14 @@ def block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     leaders = placed.where("blocks > 1").withColumn("r", F.row_number().over(order)).where(F.col("r") <= LEADERS) \
         .select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node")
     cells = placed.select("bucket", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "node") \
-        .unionByName(leaders).distinct().join(sets.select("node", "shingles", "prints"), "node")
+        .unionByName(leaders).distinct().join(sets.select("node", "shingles"), "node")
 
     def run(cell):
         import numpy as np
 
-        nodes, sets_, prints = _arrays(cell)
+        nodes, sets_ = _arrays(cell)
         at = np.arange(len(nodes))
-        return _links_table(nodes, linked(prints, sets_, at, at, at))
+        return _links_table(nodes, linked(sets_, at, at, at))
 
     return cells.groupBy("bucket", "block").applyInArrow(run, "a binary, b binary")
 
@@ -327,12 +351,12 @@ def remaining_links(members: DataFrame, sets: DataFrame, labels: DataFrame) -> D
     def run(cell):
         import numpy as np
 
-        nodes, sets_, prints = _arrays(cell)
+        nodes, sets_ = _arrays(cell)
         bands = np.array(cell["bands"].to_pylist(), dtype=np.int64)
         band, is_rest = cell["band"][0].as_py(), np.array(cell["rest"].to_pylist())
         _, labels_ = np.unique(np.array([x.hex() for x in cell["label"].to_pylist()]), return_inverse=True)
         first = lambda i, js: (bands[js] == bands[i]).argmax(1) == band
-        return _links_table(nodes, linked(prints, sets_, labels_.ravel(), np.flatnonzero(is_rest),
+        return _links_table(nodes, linked(sets_, labels_.ravel(), np.flatnonzero(is_rest),
                                           np.flatnonzero(~is_rest), first))
 
     return cells.groupBy("bucket", "i", "j").applyInArrow(run, "a binary, b binary")

@@ -243,6 +243,24 @@ def test_large_groups(spark, monkeypatch):
     assert out == brute_classes(texts)
 
 
+def test_large_groups_of_unlike_counts(spark):
+    """Equal shingle sets under very unlike occurrences, and borderline sets among them, in buckets over SMALL."""
+    rnd = random.Random(7)
+    x, y = [f"x{i}" for i in range(50)], [f"y{i}" for i in range(50)]
+    texts = {}
+    for i in range(20):
+        texts[i] = " ".join(x * 2 + y * (300 + i))
+        texts[100 + i] = " ".join(x * (300 + i) + y * 2)
+    for i in range(200, 230):
+        w = x * 2 + y * 2
+        for _ in range(rnd.randint(1, 4)):
+            w[rnd.randrange(len(w))] = f"z{rnd.randrange(50)}"
+        texts[i] = " ".join(w + y * rnd.choice([0, 40, 200]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r.class_id for r in probminhash.class_report(df).collect()}
+    assert out == brute_classes(texts)
+
+
 def test_signature_estimates_probability_jaccard():
     rnd = np.random.default_rng(1)
     elements = rnd.integers(0, 2 ** 63, 300, dtype=np.uint64)
