@@ -41,23 +41,31 @@ def store_of(uri: str):
 
 class TextEncoder:
     """Pre-tokens are found by the byte-level pattern and each new one goes through the model
-    once; a bounded memo keeps the packed ids of the others."""
+    once; a bounded memo keeps the packed ids of the others. A text that holds an added token of
+    the tokenizer goes through the library's encode as a whole."""
 
     def __init__(self, spec: str, pattern: str, id_type: str):
         import struct
 
         from tokenizers import Tokenizer
 
-        self.model, self.pack = Tokenizer.from_str(spec).model, struct.pack
+        self.whole = Tokenizer.from_str(spec)
+        self.model, self.pack = self.whole.model, struct.pack
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.code = {"<u2": "H", "<u4": "I"}[id_type]
         self.find = PreTokens(pattern)
         self.memo = Memo(self.piece, 600_000)
 
-    def piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(to_byte_chars(piece))]
+    def packed(self, ids: list[int]) -> bytes:
         return self.pack(f"<{len(ids)}{self.code}", *ids)
 
+    def piece(self, piece: str) -> bytes:
+        return self.packed([t.id for t in self.model.tokenize(to_byte_chars(piece))])
+
     def encode(self, text: str) -> bytes:
+        for token in self.added:
+            if token in text:
+                return self.packed(self.whole.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.memo.__getitem__, self.find(text)))
 
 

@@ -68,6 +68,31 @@ def test_files_equal_whole_text_encoding(spark, texts):
         at += len(ids)
 
 
+def test_files_hold_added_tokens(spark, tmp_path):
+    """The library's encode under its own settings: added tokens in a text are single ids."""
+    from tokenizers import Tokenizer
+
+    from staygrid.llm.token_files import TextEncoder, read_token_files, write_token_files
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        raw = f.read()
+    tokenizer = Tokenizer.from_str(raw)
+    texts = ["end of one.<|endoftext|>Start", "<|endoftext|>", "a <|endoftext|>\n <|endoftext|><|endoftext|> é😀", "<|endoftext|",
+             "plain  text", "", "漢字<|endoftext|> it's 12"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [437, 286, 530, 13, 50256, 10434]
+    encoder = TextEncoder(raw, public_tokenizers.PATTERN, "<u4")
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == want
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = write_token_files(df, str(tmp_path / "x"), path, public_tokenizers.PATTERN, end_id=2)
+    rows, at = {r.doc_id: r for r in read_token_files(spark, made).collect()}, 0
+    for i, w in enumerate(want):
+        ids = np.array([*w, 2], dtype="<u4")
+        assert (rows[i].start, rows[i].n_tokens, rows[i].ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
 def test_sequences_and_masks(spark, tmp_path):
     from staygrid.llm.token_files import TokenFile, write_token_files
 
