@@ -5,8 +5,8 @@ made in two steps: the hidden state emits a word class (the ``OWN`` most frequen
 their own class, other words fall in ``SHARED`` classes by crc32, the end token has one), and the
 class emits the word by its smoothed corpus count, ``(c + 1) / (N_class + V_class + 1)``, which
 leaves one share for words never seen. The states are learnt by Baum-Welch: every task runs the
-scaled forward-backward recursion over its training texts, in windows of ``WINDOW`` tokens, and emits
-its expected counts, which Spark sums; their size does not grow with the corpus. A text's score is
+scaled forward-backward recursion over its whole training texts and emits its expected counts, which
+Spark sums; their size does not grow with the corpus. A text counts one start. A text's score is
 log10 of its exact probability: the scaled forward recursion over the whole text.
 
 Word counts cover all training texts. Counts of the most frequent words, at most ``FREQUENT``, go to every
@@ -29,7 +29,8 @@ STATES = 6
 OWN = 512
 SHARED = 511
 FREQUENT = 50_000
-WINDOW = 128
+#: Places (texts x time) whose forward states are held at once.
+CELLS = 1_500_000
 ROUNDS = 4
 #: First probability of staying in a state.
 STAY = 0.95
@@ -131,44 +132,77 @@ def first_model(class_counts: list[float], states: int = STATES, seed: int = 11)
     return np.full(states, 1.0 / states), move, emit / emit.sum(1, keepdims=True)
 
 
-def expected(windows, lengths, start, move, emit):
-    """Baum-Welch counts of padded windows (rows x time): start, moves, emissions."""
+def expected(texts, lengths, start, move, emit, cells: int = CELLS):
+    """Baum-Welch counts of padded texts (rows x time): start, moves, emissions. Forward states are
+    held for a chunk of ``cells`` places: the first pass keeps those at the chunks' borders, the
+    backward pass goes through the chunks from the last, with the states of each computed again."""
     import numpy as np
 
-    rows, width = windows.shape
+    rows, width = texts.shape
     states = len(start)
+    at_time = np.ascontiguousarray(texts.T)
     by_class = np.ascontiguousarray(emit.T, dtype=np.float32)
-    move = move.astype(np.float32)
-    ahead = np.empty((width, rows, states), np.float32)
-    scale = np.empty((width, rows), np.float32)
-    now = start.astype(np.float32)[None] * by_class[windows[:, 0]]
-    for t in range(width):
-        if t:
-            now = (now @ move) * by_class[windows[:, t]]
-        total = now.sum(1)
-        now = now / total[:, None]
-        ahead[t], scale[t] = now, total
+    start, move = start.astype(np.float32), move.astype(np.float32)
+    chunk = max(1, cells // rows)
+    firsts = list(range(0, width, chunk))
+
+    def forward_states(begin, now):
+        size = min(chunk, width - begin)
+        ahead = np.empty((size, rows, states), np.float32)
+        scale = np.empty((size, rows), np.float32)
+        for k in range(size):
+            now = (start[None] if now is None else now @ move) * by_class[at_time[begin + k]]
+            total = now.sum(1)
+            now = now / total[:, None]
+            ahead[k], scale[k] = now, total
+        return ahead, scale
+
+    borders = [None]
+    for begin in firsts:
+        ahead, scale = forward_states(begin, borders[-1])
+        borders.append(ahead[-1].copy())
     moves = np.zeros((states, states))
     emits = np.zeros((states, emit.shape[1]))
     back = np.ones((rows, states), np.float32)
-    first = None
-    for t in range(width - 1, -1, -1):
-        live = t < lengths
-        if t < width - 1:
-            inside = (t + 1) < lengths
-            step = by_class[windows[:, t + 1]] * back / scale[t + 1][:, None]
-            step[~inside] = 0.0
-            moves += (ahead[t].T @ step) * move
-            back = np.where(inside[:, None], step @ move.T, np.float32(1.0))
-        gamma = ahead[t] * back
-        gamma /= np.maximum(gamma.sum(1, keepdims=True), 1e-30)
-        gamma[~live] = 0.0
+    first = later = None
+    for at in range(len(firsts) - 1, -1, -1):
+        if at < len(firsts) - 1:
+            ahead, scale = forward_states(firsts[at], borders[at])
+        for k in range(len(ahead) - 1, -1, -1):
+            t = firsts[at] + k
+            if later is not None:
+                inside = (t + 1) < lengths
+                step = by_class[at_time[t + 1]] * back / later[:, None]
+                step[~inside] = 0.0
+                moves += (ahead[k].T @ step) * move
+                back = np.where(inside[:, None], step @ move.T, np.float32(1.0))
+            gamma = ahead[k] * back
+            total = np.maximum(gamma.sum(1, keepdims=True), 1e-30)
+            gamma /= total
+            # rounding errors do not add up over a long text
+            back = back / total
+            gamma[t >= lengths] = 0.0
+            # the forward states of this time are done with
+            first, later, ahead[k] = gamma, scale[k], gamma
+        here = at_time[firsts[at]:firsts[at] + len(ahead)].ravel()
         for s in range(states):
-            emits[s] += np.bincount(windows[:, t], weights=gamma[:, s], minlength=emit.shape[1])
-        first = gamma
+            emits[s] += np.bincount(here, weights=ahead[:, :, s].ravel(), minlength=emit.shape[1])
     return first.sum(0).astype(float), moves, emits
 
 
+def groups_of(lengths):
+    """Positions of texts of like lengths, longest first, in groups of at most CELLS places or one text."""
+    import numpy as np
+
+    order = np.argsort(-lengths, kind="stable")
+    ordered, k = lengths[order], 0
+    while k < len(order):
+        like = np.searchsorted(-ordered, -0.7 * ordered[k], side="right")
+        end = max(k + 1, min(int(like), k + int(CELLS // ordered[k])))
+        yield order[k:end]
+        k = end
+
+
 def train(rows: DataFrame, model: tuple, rounds: int = ROUNDS) -> tuple:
     """Baum-Welch over all training sequences; each round sums the tasks' expected counts."""
     import numpy as np
@@ -190,14 +224,12 @@ def train(rows: DataFrame, model: tuple, rounds: int = ROUNDS) -> tuple:
                 seqs = [np.frombuffer(x, dtype="<u2") for x in b.column("classes").to_pylist()]
                 if not seqs:
                     continue
-                parts = [s[i:i + WINDOW] for s in seqs for i in range(0, len(s), WINDOW)]
-                for k in range(0, len(parts), 4096):
-                    group = parts[k:k + 4096]
-                    lengths = np.array([len(p) for p in group])
-                    flat = np.full((len(group), int(lengths.max())), END, dtype=np.int64)
-                    for i, p in enumerate(group):
-                        flat[i, :len(p)] = p
-                    total += np.concatenate([x.ravel() for x in expected(flat, lengths, start, move, emit)])
+                lengths = np.array([len(s) for s in seqs])
+                for group in groups_of(lengths):
+                    flat = np.full((len(group), int(lengths[group[0]])), END, dtype=np.int64)
+                    for i, at in enumerate(group):
+                        flat[i, :lengths[at]] = seqs[at]
+                    total += np.concatenate([x.ravel() for x in expected(flat, lengths[group], start, move, emit)])
             yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(len(total)), pa.int32()), "n": total})
 
         sums = np.zeros(sum(sizes))

@@ -359,6 +359,38 @@ def test_forward_and_counts_against_enumeration():
         assert np.allclose(a, b, rtol=1e-4, atol=1e-5)
 
 
+def test_counts_over_whole_texts(spark):
+    """One round over texts longer than any chunk equals the plain recursions over whole texts."""
+    rng = np.random.default_rng(3)
+    model = hidden_markov.first_model([5.0] * hidden_markov.CLASSES, states=3)
+    start, move, emit = model
+    seqs = [np.append(rng.integers(0, 20, n), hidden_markov.END).astype("<u2") for n in (700, 0, 300, 5, 129)]
+    total, moves, emits = np.zeros(3), np.zeros((3, 3)), np.zeros(emit.shape)
+    for s in seqs:
+        ahead, back = np.zeros((len(s), 3)), np.ones((len(s), 3))
+        for t, x in enumerate(s):
+            ahead[t] = (ahead[t - 1] @ move if t else start) * emit[:, x]
+            ahead[t] /= ahead[t].sum()
+        for t in range(len(s) - 2, -1, -1):
+            back[t] = move @ (emit[:, s[t + 1]] * back[t + 1])
+            back[t] /= back[t].sum()
+            pair = ahead[t][:, None] * move * (emit[:, s[t + 1]] * back[t + 1])[None]
+            moves += pair / pair.sum()
+        both = ahead * back
+        both /= both.sum(1, keepdims=True)
+        total += both[0]
+        np.add.at(emits.T, s, both)
+    rows = spark.createDataFrame([(True, bytearray(s.tobytes())) for s in seqs], "train boolean, classes binary")
+    for got, n, add in zip(hidden_markov.train(rows, model, rounds=1), (total, moves, emits), (0.1, 0.1, 0.01)):
+        assert np.allclose(got, (n + add) / (n + add).sum(-1, keepdims=True), rtol=1e-3, atol=1e-6)
+    # the same counts where forward states are kept for a part of the time only
+    flat = np.full((len(seqs), 701), hidden_markov.END, dtype=np.int64)
+    for i, s in enumerate(seqs):
+        flat[i, :len(s)] = s
+    for got, n in zip(hidden_markov.expected(flat, np.array([len(s) for s in seqs]), *model, cells=160), (total, moves, emits)):
+        assert np.allclose(got, n, rtol=1e-3, atol=1e-3)
+
+
 # ---------------------------------------------------------------- 10, 2, 5
 
 def test_mix_near_targets(spark):
