@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from staygrid.llm.common import table
+from staygrid.llm.importance import DRAW_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_importance": DRAW_SQL}
 
 
 def query(fn: Query) -> Query:
@@ -93,3 +94,10 @@ def op1_probminhash(spark, sf_dir):
     from staygrid.llm.probminhash import class_report
 
     return class_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_importance(spark, sf_dir):
+    from staygrid.llm.importance import draw_report
+
+    return draw_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
