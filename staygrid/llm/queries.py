@@ -101,3 +101,11 @@ def op11_importance(spark, sf_dir):
     from staygrid.llm.importance import draw_report
 
     return draw_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    from staygrid.llm.alignment import alignment_report
+
+    return alignment_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
