@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from staygrid.llm.common import table
+from staygrid.llm.decontaminate import REPORT_SQL
 from staygrid.llm.importance import DRAW_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {"op11_importance": DRAW_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_importance": DRAW_SQL, "op13_positional_index": REPORT_SQL}
 
 
 def query(fn: Query) -> Query:
@@ -109,3 +110,10 @@ def op12_alignment(spark, sf_dir):
 
     return alignment_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                             public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+@query
+def op13_positional_index(spark, sf_dir):
+    from staygrid.llm.decontaminate import contamination_report
+
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -1,0 +1,118 @@
+"""The positional index and its phrase and proximity search against plain scans of the texts."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from staygrid.llm import decontaminate
+from staygrid.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOW))
+
+
+def brute(docs, items, slop=5):
+    """Rows of the report by comparing every window with every place of every text."""
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[i:i + 10]), set()).add("" if item is None else str(item))
+    lengths = {len(w) for w in windows}
+    out = []
+    for doc, text in docs:
+        w, hit, exact, near = words(text), set(), set(), set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                held = windows.get(tuple(w[i:i + n]))
+                if held:
+                    hit |= set(range(i, i + n))
+                    exact |= held
+        has = set(w)
+        for win, held in windows.items():
+            if set(win) <= has and any(set(win) <= set(w[max(i, 0):i + len(win) + slop]) for i in range(-slop, len(w))):
+                near |= held
+        out.append((doc, len(w), len(hit), len(exact), hashlib.sha256(",".join(sorted(exact)).encode()).hexdigest(),
+                    bool(hit), len(near)))
+    return out
+
+
+def order(rows):
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r))
+
+
+def test_query_equals_brute_force(spark):
+    rows = lambda n: [tuple(r)[:2] for r in spark.read.parquet(f"{SF}/{n}.parquet").collect()]
+    want = brute(rows("documents"), rows("benchmark"))
+    assert order(QUERIES["op13_positional_index"](spark, SF).collect()) == order(want)
+    assert sum(r[5] for r in want) >= 2
+
+
+@pytest.mark.parametrize("seed, small", [(1, False), (2, True), (3, True)])
+def test_few_words(spark, monkeypatch, seed, small):
+    """Texts of a handful of words, so that windows repeat words, overlap and nearly match; with ``small``
+    every few texts are a segment and every few windows a block."""
+    if small:
+        for name, value in (("SEGMENT_CHARS", 150), ("BLOCK", 7)):
+            monkeypatch.setattr(decontaminate, name, value)
+    rnd = random.Random(seed)
+    text = lambda n: " ".join(rnd.choice(["a", "B", "b", "c", "D1", "é", "ø"]) for _ in range(n))
+    items = [(i, text(rnd.choice([1, 2, 3, 5, 9, 10, 11, 14]))) for i in range(25)] + [(3, text(4)), (None, text(6))]
+    docs = [(i, text(rnd.randint(0, 60))) for i in range(50)]
+    for i in range(0, 50, 4):
+        # an item inside, and an item with words put between
+        item = (items[i % 25][1] or "").split()
+        docs[i] = (i, f"{docs[i][1]} {' '.join(item)}. {docs[i][1]}")
+        docs[i + 1] = (i + 1, " zz ".join([docs[i + 1][1], " ".join(item[:4]), " ".join(item[4:])]))
+    got = decontaminate.contamination_report(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                                             spark.createDataFrame(items, "item_id long, text string"))
+    assert order(got.collect()) == order(brute(docs, items))
+
+
+def test_matches_name_their_places(spark):
+    docs = spark.createDataFrame([(1, "x y one two three four z"), (2, "one, two! Three four"), (3, "four one zz three yy two"),
+                                  (4, "one two three"), (5, "one 1 2 3 4 5 6 two three four")], "doc_id long, text string")
+    items = spark.createDataFrame([("q", "One two three four")], "item_id string, text string")
+    windows, _ = decontaminate.item_windows(items)
+    index = decontaminate.positional_index(docs)
+    hits = decontaminate.matches(index, windows).join(decontaminate.indexed_documents(index), ["segment", "ordinal"]).collect()
+    got = {r.doc_id: (r.places, r.starts, r.ends, len(r.near_windows)) for r in hits}
+    assert got == {1: ([2], [2], [6], 1), 2: ([0], [0], [4], 1), 3: ([], [], [], 1)}
+    n = {r.token: r.n for r in index.groupBy("token").agg(F.sum("n").alias("n")).collect()}
+    assert (n["one"], n["four"], n["zz"], n["6"]) == (5, 4, 1, 1)
+    with pytest.raises(ValueError):
+        decontaminate.matches(index, windows, slop=40)
+
+
+def test_texts_do_not_run_into_each_other(spark):
+    docs = spark.createDataFrame([(i, "one two three four five") for i in range(6)], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "three four five one two three"), (2, "five one")], "item_id long, text string")
+    out = decontaminate.contamination_report(docs, items).collect()
+    assert all((r.n_hit, r.n_items) == (0, 0) for r in out)
+    # both words stand within 2 + 5 words
+    assert all(r.n_near == 2 for r in out)
+
+
+def test_edges(spark):
+    long = " ".join(f"word{i % 977}" for i in range(200_000))
+    docs = [(0, None), (1, ""), (2, " \t\n.,"), (3, long), (None, "the one phrase"), (None, "the one phrase"), (4, "said twice"),
+            (4, "said twice"), (5, "\x00null\x00byte 漢字"), (6, "12.5")]
+    items = [(1, None), (2, ""), (3, "..."), (4, "one phrase"), (4, "one phrase"), (5, "said"), (6, "漢字"), (7, "12 5"),
+             (8, " ".join(f"word{i}" for i in range(970, 977))), (9, "unseen words only"), (None, "twice")]
+    clash = ["segment", "token", "positions", "item", "window", "phrase", "n", "term", "starts", "ordinal", "n_hit", "near"]
+    d = spark.createDataFrame(docs, "doc_id long, text string").select("*", *[F.lit(1).alias(c) for c in clash])
+    b = spark.createDataFrame(items, "item_id int, text string").select("*", *[F.lit(1).alias(c) for c in clash])
+    got = decontaminate.contamination_report(d, b)
+    assert order(got.collect()) == order(brute(docs, items))
+    assert decontaminate.contamination_report(d.where("false"), b).count() == 0
+    for none in (b.where("false"), b.where("item_id < 4")):
+        rows = decontaminate.contamination_report(d, none).collect()
+        assert len(rows) == len(docs) and not any(r.contaminated or r.n_near for r in rows)
