@@ -19,6 +19,7 @@ from staygrid.plans.temperature import temperature_range_by_cell, temperature_ra
 from staygrid.plans.trend import weather_trend_by_cell
 from staygrid.sources import surrogates as sg
 from staygrid.session import shared_dir
+from staygrid.sources.incremental import IncrementalCopy
 from staygrid.sources.readers import driver_table, parse_dates, read_table, read_topic
 from staygrid.sources.schemas import (EXPEDIA, HOTELS, HOTELS_PAYLOAD, HOTELS_WEATHER, RESULT_BUSY_HOTELS,
                                       RESULT_TMPR_DIFF, RESULT_WTHR_TREND, WEATHER)
@@ -169,6 +170,28 @@ def q_bookings_bucketed(spark, sf_dir):
     return spark.table("expedia_bucketed").select(*src.columns)
 
 
+def booking_batches(spark, sf_dir):
+    """(name, rows) of the bookings as they come in: a first load in which every fiftieth booking has
+    wrong dates and guests, a batch that repeats known rows, the same batch once more, and a last one
+    that brings the other bookings and the corrections."""
+    b, k = sg.bookings(spark, sf_dir), F.col("id")
+    wrong = k % 50 == 0
+    first = b.filter(k % 10 < 6).withColumns({
+        "srch_ci": F.when(wrong, F.date_sub("srch_ci", 40)).otherwise(F.col("srch_ci")),
+        "srch_adults_cnt": F.when(wrong, F.col("srch_adults_cnt") + 1).otherwise(F.col("srch_adults_cnt"))})
+    second = b.filter((k % 10).between(5, 8))
+    return [("load", first), ("second", second), ("second", second), ("last", b.filter((k % 10 == 9) | wrong))]
+
+
+@register("bookings_incremental")
+def q_bookings_incremental(spark, sf_dir):
+    """Bookings copied batch by batch into a table partitioned by check-in month, read back."""
+    copy = IncrementalCopy(spark, shared_dir(spark, "bookings_incremental"), key="id", date="srch_ci", unit="month")
+    for name, rows in booking_batches(spark, sf_dir):
+        copy.apply(rows, name)
+    return copy.read()
+
+
 @register("expedia_declared")
 def q_expedia_declared(spark, sf_dir):
     """Bookings stored with their 20 columns and text dates, read through the declared schema,
