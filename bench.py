@@ -38,8 +38,8 @@ def direct_forms():
 
     gaps = """SELECT *, coalesce(datediff(srch_ci, lag(srch_ci) OVER (PARTITION BY hotel_id ORDER BY srch_ci NULLS FIRST,
               id NULLS FIRST)), 0) AS idle_days FROM bookings"""
-    clean = f"""WITH g AS ({gaps}) SELECT * FROM g WHERE hotel_id IS NULL OR hotel_id NOT IN (
-               SELECT hotel_id FROM g WHERE hotel_id IS NOT NULL AND idle_days BETWEEN 2 AND 29)"""
+    clean = f"""WITH g AS ({gaps}) SELECT * FROM g WHERE NOT EXISTS (
+               SELECT 1 FROM g bad WHERE bad.hotel_id = g.hotel_id AND bad.idle_days BETWEEN 2 AND 29)"""
     by = "SELECT i.{0}, count(*) AS n FROM ({1}) c LEFT JOIN (SELECT DISTINCT * FROM info) i ON i.id = c.hotel_id GROUP BY 1"
 
     def rollup(spark, sf):

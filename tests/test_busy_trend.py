@@ -58,3 +58,32 @@ def test_forms_without_the_grid_equal_the_forms_over_it(spark):
     bag = lambda df: sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
     assert bag(temperature_range_by_cell(hotels, cells)) == bag(temperature_range_topk(grid))
     assert bag(weather_trend_by_cell(bookings, hotels, cells)) == bag(weather_trend(bookings, grid))
+
+
+def test_long_stays_equal_the_day_by_day_form(spark):
+    """Stays of up to 10,000 days over readings with gaps, NULL, NaN and infinite days, hotels without a
+    cell and cells without a reading."""
+    import random
+
+    from staygrid.plans.trend import weather_trend_by_cell
+    rnd, start = random.Random(3), dt.date(1995, 1, 1)
+    day = lambda n: start + dt.timedelta(days=n)
+    odd = {("b", 700): float("nan"), ("c", 900): float("inf"), ("c", 1200): float("-inf"), ("b", 100): None}
+    readings = [(day(n), c, odd.get((c, n), rnd.uniform(-40, 40))) for c in "abc" for n in
+                sorted({100, 700, 900, 1200, *rnd.sample(range(11_000), 900)})]
+    hotels = [(1, "a"), (2, "b"), (3, "c"), (4, "none"), (5, None)]
+    stays = []
+    for i in range(400):
+        ci = rnd.randrange(0, 1500)
+        stays.append((i, rnd.choice([1, 2, 3, 4, 5, 6, None]), day(ci), day(ci + rnd.choice([7, 8, 30, 400, 10_000])), 1, 0))
+    stays += [stays[0], (900, 1, None, day(9), 1, 0), (901, 1, day(50), day(20), 1, 0)]
+    b = spark.createDataFrame(stays, BOOK)
+    cells = spark.createDataFrame(readings, "wthr_date date, geohash string, avg_tmpr_c double")
+    h = spark.createDataFrame(hotels, "id long, geohash string")
+    grid = h.join(cells, "geohash").select("id", "wthr_date", "avg_tmpr_c")
+    bag = lambda df: sorted(str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
+    got = weather_trend_by_cell(b, h, cells)
+    assert bag(got) == bag(weather_trend(b, grid))
+    # the only rows made are those of repeated bookings
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "copies" in plan.split("Generate")[1].splitlines()[0]
