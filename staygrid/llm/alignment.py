@@ -5,7 +5,9 @@ Tokenizer A is a byte-level BPE (``tokenizers``), B a piece model with byte fall
 byte ranges overlap, and a group lies between two offsets where tokens of both end.
 
 1. Tasks align their documents and pre-aggregate the linked id pairs; each writes, for each of
-   ``BUCKETS`` key buckets, its sorted distinct pairs with their numbers.
+   ``BUCKETS`` key buckets, its sorted distinct pairs with their numbers. Texts are aligned chunk by
+   chunk: before a blank that follows no white space tokens of both sides end, so a word with the
+   blank before it is aligned once a task and its links count as often as it comes.
 2. A bucket's distinct pairs are united by a tree of groups, and a minimal perfect hash is built over
    them: levels of bits, a pair's place being the rank of the first bit that it alone has set.
 3. Parts become dense count vectors indexed by that hash, each made of so many parts that it is no
@@ -19,7 +21,8 @@ at most ``CACHE_BYTES`` of them. Only each B id's highest count goes through the
 
 A null or empty text, or one that the joined tokens of A or B do not give back byte by byte, has
 no tokens: zeros and an empty digest. Special tokens' strings in texts are plain text. A text of
-any length is aligned whole; short ones share arrays of ``SLICE`` characters. Repeated ids and rows
+any length is aligned whole; short ones share arrays of ``SLICE`` characters, and a task forgets its
+chunks when it holds ``ROOM`` of them or ``ROOM_CHARS`` characters. Repeated ids and rows
 are rows of their own and count each time; null ids stay null. An empty table gives no rows. Extra
 columns may have any names: only doc_id and text are read.
 """
@@ -27,6 +30,7 @@ columns may have any names: only doc_id and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +43,8 @@ from staygrid.session import shared_dir
 BUCKETS = 256
 #: Characters aligned in one set of arrays.
 SLICE = 1_000_000
+#: Chunks, and their characters, that a task remembers.
+ROOM, ROOM_CHARS = 400_000, 8_000_000
 #: Distinct pairs a task gathers before it hands them on.
 HELD = 3_000_000
 CACHE_BYTES = 256_000_000
@@ -109,7 +115,7 @@ def bucket_of(keys):
 # ---------------------------------------------------------------- aligning, in tasks
 
 class Aligner:
-    """Both tokenizers, and the arrays of a list of texts."""
+    """Both tokenizers, and the links of a list of chunks."""
 
     def __init__(self, spec: str, pattern: str, pieces: bytes):
         import numpy as np
@@ -124,49 +130,190 @@ class Aligner:
         for token, i in whole.get_vocab(with_added_tokens=False).items():
             self.a_bytes[i] = bytes(back[c] for c in token)
         self.b = SentencePieceProcessor(model_proto=pieces)
-        self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
-                        else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
+        shown = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(shown)]
         self.a_len, self.b_len = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.n_b = len(self.b_bytes)
+        self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
+        #: No piece of B runs from another character into a blank, so none crosses a chunk's border.
+        self.by_chunk = not any("▁" in p.lstrip("▁") for p in shown)
 
     def packed(self, piece: str) -> bytes:
-        return self.np.array([t.id for t in self.model.tokenize(to_byte_chars(piece))], dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[tuple | None]:
-        """(ids of A, ids of B) of each text, or None where either does not give the text back."""
-        np, out = self.np, []
-        for text, b in zip(texts, self.b.encode(texts, num_threads=1)):
-            raw = (" " + text).encode("utf-8", "surrogatepass")
-            a = np.frombuffer(b"".join(map(self.memo.__getitem__, self.find(" " + text))), dtype="<u4")
-            same = text and b"".join(map(self.b_bytes.__getitem__, b)) == raw \
-                and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
-            out.append((a.astype(np.int64), np.array(b, dtype=np.int64)) if same else None)
-        return out
+        return self.np.array([t.id for t in self.model.tokenize(to_byte_chars(piece))], dtype="<i8").tobytes()
+
+    def a_ids(self, text: str):
+        return self.np.frombuffer(b"".join(map(self.memo.__getitem__, self.find(text))), dtype="<i8")
 
-    def links(self, made: list[tuple]):
-        """Links of the texts laid end to end: (ends of A's tokens, of B's tokens, of the links, each link's
-        A and B token). Between two neighbouring ends of either side lies one link."""
+    def a_side(self, chunks: list[str], sizes):
+        """A's ids of blank + chunk, laid end to end, and their number by chunk. Chunks that end in white
+        space go one by one; the others' pre-tokens are found in one text, as if they followed each other."""
+        np = self.np
+        closed = np.array([bool(c) and not c[-1].isspace() for c in chunks], dtype=bool)
+        lone = [self.a_ids(" " + chunks[i]) for i in np.flatnonzero(~closed)]
+        together = self.a_ids("".join([" " + c for c, ok in zip(chunks, closed) if ok]))
+        n = np.zeros(len(chunks), np.int64)
+        n[~closed] = [len(x) for x in lone]
+        # a token belongs to the chunk in whose bytes it ends
+        to = np.searchsorted(np.cumsum(self.a_len[together]), np.cumsum(sizes[closed]), "right")
+        n[closed] = np.diff(to, prepend=0)
+        own = np.repeat(closed, n)
+        out = np.zeros(len(own), np.int64)
+        out[own] = together[:to[-1]] if len(to) else together
+        out[~own] = np.concatenate(lone) if lone else together[:0]
+        return out, n
+
+    def encode(self, chunks: list[str]):
+        """Ids of A and of B for blank + chunk, each laid end to end, the numbers of ids of each chunk, and
+        which chunks are given back by both sides; the others have no ids."""
+        np = self.np
+        raws = [(" " + c).encode("utf-8", "surrogatepass") for c in chunks]
+        sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        lists = self.b.encode(chunks, num_threads=1)
+        sides = [self.a_side(chunks, sizes), (np.fromiter(chain.from_iterable(lists), dtype=np.int64),
+                                              np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))]
+        same, whole = np.ones(len(chunks), bool), b"".join(raws)
+        for (ids, n), shown, length in zip(sides, (self.a_bytes, self.b_bytes), (self.a_len, self.b_len)):
+            given = b"".join(map(shown.__getitem__, ids.tolist()))
+            made = np.diff(np.concatenate([[0], np.cumsum(length[ids])])[np.cumsum(n)], prepend=0)
+            same &= made == sizes
+            if given != whole:
+                # which chunks differ, by their bytes
+                to = np.cumsum(made).tolist()
+                same &= np.array([given[i:j] == raw for i, j, raw in zip([0, *to], to, raws)], dtype=bool)
+        out = []
+        for ids, n in sides:
+            out += [ids[np.repeat(same, n)], np.where(same, n, 0)]
+        return *out, same
+
+    def links(self, a, b):
+        """Ends of A's tokens, of B's and of the links, and each link's A and B token, for ids laid end to
+        end. Between two neighbouring ends of either side lies one link."""
         np = self.np
-        a, b = (np.concatenate([m[side] for m in made]) for side in (0, 1))
         a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         ends = np.union1d(a_end, b_end)
-        return a, b, a_end, b_end, ends, np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        return a_end, b_end, ends, np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
 
     def keys(self, a, b):
         return a.astype(self.np.uint64) * self.np.uint64(self.n_b) + b.astype(self.np.uint64)
 
 
+class Chunks(dict):
+    """Chunk -> row of the arrays that ``learn`` fills; a new chunk takes the next row and is learnt with
+    the others of its slice.
+
+    ``numbers`` holds, by row: tokens of A, tokens of B, groups, links, and what ``score`` adds (two
+    numbers). ``keys`` are the pairs of all links in order of rows; ``shown`` the groups' text."""
+
+    def __init__(self, aligner: Aligner, score=None, show: bool = False):
+        super().__init__()
+        self.np, self.aligner, self.score = aligner.np, aligner, score
+        self.marks = [f"{i}{end}" for n, ends in ((aligner.n_a, ",|"), (aligner.n_b, ",;")) for end in ends
+                      for i in range(n)] if show else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.size, self.chars, self.new, self.shown, self.keys = 0, 0, [], [], []
+        self.numbers = self.np.zeros((1024, 6), self.np.int64)
+        self.same, self.joins = self.np.zeros(1024, bool), self.np.zeros(1024, bool)
+
+    def full(self) -> bool:
+        return self.size > ROOM or self.chars > ROOM_CHARS
+
+    def __missing__(self, chunk: str) -> int:
+        row = self[chunk] = self.fresh(chunk)
+        return row
+
+    def fresh(self, chunk: str) -> int:
+        self.new.append(chunk)
+        self.size += 1
+        return self.size - 1
+
+    def learn(self) -> None:
+        np, new, first = self.np, self.new, self.size - len(self.new)
+        if not new:
+            return
+        self.new = []
+        self.chars += sum(map(len, new))
+        if self.size > len(self.same):
+            more = max(self.size, 2 * len(self.same)) - len(self.same)
+            self.numbers = np.concatenate([self.numbers, np.zeros((more, 6), np.int64)])
+            self.same, self.joins = (np.concatenate([x, np.zeros(more, bool)]) for x in (self.same, self.joins))
+        a, n_a, b, n_b, same = self.aligner.encode(new)
+        a_end, b_end, ends, at_a, at_b = self.aligner.links(a, b)
+        cuts = np.intersect1d(a_end, b_end)
+        # where each chunk's bytes, links and groups end
+        to_a = np.cumsum(n_a)
+        end = np.concatenate([[0], a_end])[to_a]
+        link_to, group_to = np.searchsorted(ends, end, "right"), np.searchsorted(cuts, end, "right")
+        keys = self.aligner.keys(a[at_a], b[at_b])
+        self.keys.append(keys)
+        each = [n_a, n_b, np.diff(group_to, prepend=0), np.diff(link_to, prepend=0)]
+        if self.score:
+            each += [np.diff(np.concatenate([[0], np.cumsum(x)])[link_to], prepend=0) for x in self.score(keys, b[at_b])]
+        rows = slice(first, self.size)
+        for i, numbers in enumerate(each):
+            self.numbers[rows, i] = numbers
+        self.same[rows] = same
+        # its text does not end where the next blank begins a chunk
+        self.joins[rows] = [not c or c[-1].isspace() for c in new]
+        if self.marks:
+            self.shown += self.texts(a, b, a_end, b_end, cuts, to_a + np.cumsum(n_b))
+
+    def texts(self, a, b, a_end, b_end, cuts, to) -> list[str]:
+        """The groups of each chunk as text: tokens in the order of groups, A's before B's, each with the
+        mark that follows it."""
+        np, n_a, n_b = self.np, self.aligner.n_a, self.aligner.n_b
+        place = np.concatenate([np.searchsorted(cuts, a_end) * 2, np.searchsorted(cuts, b_end) * 2 + 1])
+        marked = np.concatenate([a + n_a * np.isin(a_end, cuts), 2 * n_a + b + n_b * np.isin(b_end, cuts)])
+        words = list(map(self.marks.__getitem__, marked[np.argsort(place, kind="stable")].tolist()))
+        to = to.tolist()
+        return ["".join(words[i:j]) for i, j in zip([0, *to], to)]
+
+    def place(self, texts: list[str]) -> list[list[int] | None]:
+        """Rows of each text's chunks; None for a text without tokens."""
+        row, split = self.__getitem__, self.aligner.by_chunk
+        placed = [(list(map(row, t.split(" "))) if split else [self.fresh(t)]) if t else None for t in texts]
+        self.learn()
+        # blanks after white space begin no chunk
+        for i in self.having(placed, self.joins):
+            joined = [""]
+            for k, part in enumerate(texts[i].split(" ")):
+                if k and joined[-1] and part and not joined[-1][-1].isspace():
+                    joined.append(part)
+                else:
+                    joined[-1] += " " * (k > 0) + part
+            placed[i] = list(map(row, joined))
+        self.learn()
+        # a text of which a chunk is not given back is tried as a whole
+        odd = self.having(placed, ~self.same)
+        for i in odd:
+            placed[i] = [self.fresh(texts[i])]
+        self.learn()
+        for i in odd:
+            if not self.same[placed[i][0]]:
+                placed[i] = None
+        return placed
+
+    def having(self, placed: list, flag) -> list[int]:
+        """Texts with a row whose flag is set."""
+        np = self.np
+        if not flag[:self.size].any():
+            return []
+        marked = set(np.flatnonzero(flag[:self.size]).tolist())
+        return [i for i, rows in enumerate(placed) if rows and not marked.isdisjoint(rows)]
+
+
 def slices(texts):
-    """Positions and texts in lists of about SLICE characters."""
-    at, held, size = 0, [], 0
-    for i, text in enumerate(texts):
+    """Texts in lists of about SLICE characters."""
+    held, size = [], 0
+    for text in texts:
         held.append(text)
         size += len(text)
         if size >= SLICE:
-            yield at, held
-            at, held, size = i + 1, [], 0
+            yield held
+            held, size = [], 0
     if held:
-        yield at, held
+        yield held
 
 
 def merged(keys: list, counts: list):
@@ -201,7 +348,7 @@ def pair_parts(docs: DataFrame, spec, pieces, pattern: str) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        aligner, keys, counts, size = None, [], [], 0
+        chunks, keys, counts = None, [], []
         part = TaskContext.get().partitionId() << 20
 
         def rows():
@@ -216,24 +363,34 @@ def pair_parts(docs: DataFrame, spec, pieces, pattern: str) -> DataFrame:
                  pa.array([number[g].astype("<i8").tobytes() for g in groups], pa.binary())],
                 names=["bucket", "part", "n", "keys", "counts"])
 
+        def gather():
+            """The links of the chunks seen, each as often as its chunk came."""
+            found, order = np.unique(np.concatenate(chunks.keys), return_inverse=True)
+            often = np.repeat(seen[:chunks.size], chunks.numbers[:chunks.size, 3])
+            total = np.zeros(len(found), np.int64)
+            np.add.at(total, order, often)
+            keys.append(found[total > 0])
+            counts.append(total[total > 0])
+
         for batch in batches:
-            aligner = aligner or Aligner(spec.value, pattern, pieces.value)
-            for _, texts in slices(batch.column(1).to_pylist()):
-                made = [m for m in aligner.encode(texts) if m]
-                if not made:
+            if chunks is None:
+                chunks, seen = Chunks(Aligner(spec.value, pattern, pieces.value)), np.zeros(0, np.int64)
+            for texts in slices(batch.column(1).to_pylist()):
+                placed = [i for rows_of in chunks.place(texts) for i in rows_of or ()]
+                more = np.bincount(np.array(placed, dtype=np.int64), minlength=chunks.size)
+                more[:len(seen)] += seen
+                seen = more
+                if not chunks.full():
                     continue
-                a, b, _, _, _, at_a, at_b = aligner.links(made)
-                k, n = np.unique(aligner.keys(a[at_a], b[at_b]), return_counts=True)
-                keys.append(k)
-                counts.append(n)
-                size += len(k)
-                if size > HELD:
-                    k, n = merged(keys, counts)
-                    keys, counts, size = [k], [n], len(k)
-                if size > HELD // 2 and len(keys) == 1:
+                gather()
+                chunks.forget()
+                seen = np.zeros(0, np.int64)
+                if sum(map(len, keys)) > HELD:
                     yield rows()
-                    keys, counts, size, part = [], [], 0, part + 1
-        if size:
+                    keys, counts, part = [], [], part + 1
+        if chunks is not None and chunks.size:
+            gather()
+        if sum(map(len, keys)):
             yield rows()
 
     return stored(docs.mapInArrow(run, PAIRS), "pair_parts")
@@ -448,47 +605,31 @@ def align(df: DataFrame, files: DataFrame, tokenizer_path: str, pieces_path: str
         import numpy as np
         import pyarrow as pa
 
-        aligner = None
+        chunks = None
         for batch in batches:
-            if aligner is None:
+            if chunks is None:
                 aligner, counts = Aligner(spec.value, pattern, pieces.value), PairCounts(paths)
                 top = np.zeros(aligner.n_b, np.int64)
                 for i, n in known.value.items():
                     top[i] = n
-                n_a = len(aligner.a_bytes)
-                shown = [f"{i}{end}" for n, ends in ((n_a, ",|"), (aligner.n_b, ",;")) for end in ends for i in range(n)]
+
+                def score(keys, b):
+                    """Of each link: whether its count is its B id's highest, and the count."""
+                    found, back = np.unique(keys, return_inverse=True)
+                    number = counts(found)[back]
+                    return (number == top[b]) & (number > 0), number
+
+                chunks = Chunks(aligner, score, show=True)
             out = []
-            for _, texts in slices(batch.column(1).to_pylist()):
-                encoded = aligner.encode(texts)
-                made = [m for m in encoded if m]
-                if not made:
-                    out += [(0, 0, 0, 0, 0, 0, "")] * len(texts)
-                    continue
-                a, b, a_end, b_end, ends, at_a, at_b = aligner.links(made)
-                keys, back = np.unique(aligner.keys(a[at_a], b[at_b]), return_inverse=True)
-                number = counts(keys)[back]
-                best = number == top[b[at_b]]
-                # tokens in the order of groups, A's before B's, each with the mark that follows it
-                cuts = np.intersect1d(a_end, b_end)
-                group_a, group_b = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
-                order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-                marked = np.concatenate([a + n_a * np.isin(a_end, cuts), 2 * n_a + b + aligner.n_b * np.isin(b_end, cuts)])[order]
-                words = list(map(shown.__getitem__, marked.tolist()))
-                # where each text's tokens, links and groups end
-                a_to, b_to = np.cumsum([len(m[0]) for m in made]), np.cumsum([len(m[1]) for m in made])
-                end = a_end[a_to - 1]
-                link_to, group_to = np.searchsorted(ends, end) + 1, np.searchsorted(cuts, end) + 1
-                best_to = np.concatenate([[0], np.cumsum(best)])[link_to]
-                sum_to = np.concatenate([[0], np.cumsum(number)])[link_to]
-                before, i = (0,) * 6, 0
-                tos = list(zip(*(x.tolist() for x in (a_to, b_to, group_to, link_to, best_to, sum_to))))
-                for m in encoded:
-                    if m is None:
+            for texts in slices(batch.column(1).to_pylist()):
+                for rows in chunks.place(texts):
+                    if rows is None:
                         out.append((0, 0, 0, 0, 0, 0, ""))
                         continue
-                    text = "".join(words[before[0] + before[1]:tos[i][0] + tos[i][1]])[:-1]
-                    out.append((*(x - y for x, y in zip(tos[i], before)), sha256(text.encode()).hexdigest()))
-                    before, i = tos[i], i + 1
+                    groups = "".join(map(chunks.shown.__getitem__, rows))[:-1]
+                    out.append((*chunks.numbers[rows].sum(0).tolist(), sha256(groups.encode()).hexdigest()))
+                if chunks.full():
+                    chunks.forget()
             cols = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.string())],

@@ -105,7 +105,7 @@ def test_query_equals_brute_force(spark):
 def test_edges(spark, monkeypatch, small):
     """Odd texts; with ``small`` also many parts, several rounds of both trees and slices of a text each."""
     if small:
-        for name, value in (("FAN", 2), ("HELD", 20), ("SLICE", 1)):
+        for name, value in (("FAN", 2), ("HELD", 20), ("SLICE", 1), ("ROOM", 3)):
             monkeypatch.setattr(alignment, name, value)
     rows = [(i if i != 8 else None, t) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
