@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import chain
+from struct import pack
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -138,7 +139,8 @@ class Aligner:
         self.by_chunk = not any("▁" in p.lstrip("▁") for p in shown)
 
     def packed(self, piece: str) -> bytes:
-        return self.np.array([t.id for t in self.model.tokenize(to_byte_chars(piece))], dtype="<i8").tobytes()
+        ids = [t.id for t in self.model.tokenize(to_byte_chars(piece))]
+        return pack(f"<{len(ids)}q", *ids)
 
     def a_ids(self, text: str):
         return self.np.frombuffer(b"".join(map(self.memo.__getitem__, self.find(text))), dtype="<i8")
@@ -185,12 +187,15 @@ class Aligner:
         return *out, same
 
     def links(self, a, b):
-        """Ends of A's tokens, of B's and of the links, and each link's A and B token, for ids laid end to
-        end. Between two neighbouring ends of either side lies one link."""
+        """Ends of A's tokens, of B's, of the links and of the groups, and each link's A and B token, for ids
+        laid end to end. Between two neighbouring ends of either side lies one link; no token is empty,
+        so an end that comes twice is one of both sides."""
         np = self.np
         a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
-        ends = np.union1d(a_end, b_end)
-        return a_end, b_end, ends, np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        both = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        twice = both[1:] == both[:-1]
+        ends, cuts = both[np.concatenate([[True], ~twice])] if len(both) else both, both[1:][twice]
+        return a_end, b_end, ends, cuts, np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
 
     def keys(self, a, b):
         return a.astype(self.np.uint64) * self.np.uint64(self.n_b) + b.astype(self.np.uint64)
@@ -239,8 +244,7 @@ class Chunks(dict):
             self.numbers = np.concatenate([self.numbers, np.zeros((more, 6), np.int64)])
             self.same, self.joins = (np.concatenate([x, np.zeros(more, bool)]) for x in (self.same, self.joins))
         a, n_a, b, n_b, same = self.aligner.encode(new)
-        a_end, b_end, ends, at_a, at_b = self.aligner.links(a, b)
-        cuts = np.intersect1d(a_end, b_end)
+        a_end, b_end, ends, cuts, at_a, at_b = self.aligner.links(a, b)
         # where each chunk's bytes, links and groups end
         to_a = np.cumsum(n_a)
         end = np.concatenate([[0], a_end])[to_a]
