@@ -8,6 +8,7 @@ from staygrid.operators import geo_boxes as gb
 from staygrid.operators import geo_cells as gc
 from staygrid.operators import geo_cover as gv
 from staygrid.operators import geo_search as gs
+from staygrid.operators.nearest import nearest_k
 from staygrid.operators.profile import column_profile
 from staygrid.registry import register, round6
 from staygrid.sources import surrogates as sg
@@ -123,7 +124,7 @@ def q_nearest_hotels(spark, sf_dir):
     """The three hotels nearest to each circle's centre."""
     hotels = sg.hotels(spark, sf_dir).select("id", "lat", "lng")
     sites = sg.circles(spark, sf_dir).select("circle_id", "lat", "lng")
-    out = gs.nearest_k(hotels, sites, k=3, point_id="id", id_col="circle_id", first_m=400_000.0, grow=2.5)
+    out = nearest_k(hotels, sites, k=3, point_id="id", id_col="circle_id")
     return out.select("circle_id", "id", "rank", F.round("distance_m", 3).alias("distance_m"))
 
 
