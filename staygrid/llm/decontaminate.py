@@ -11,8 +11,9 @@ over the postings and orders each window's terms by it. The postings of test ter
 where each window starts from the positions of its rarest term: those that have the next terms in
 reach are kept, term by term. What is left is an exact phrase where every list, moved by the term's
 offset, holds the start, and a proximity match where all the window's words stand within ``slop``
-words more than its own length. Windows go out in blocks of ``BLOCK`` or so, of at most ``WINDOW``
-term numbers each; one block meets all segments, then the next.
+words more than its own length. Windows go out in blocks of about ``BLOCK``, or
+``BLOCK_BYTES`` of words; a block's words are broadcast, so postings are filtered where they lie and
+only those of test terms move. One block meets all segments, then the next.
 
 Null and empty texts have no words; they keep their row in the report, and an item without words has
 no window. Repeated documents are rows of their own. Items of one id are one item; a null item_id is
@@ -39,7 +40,7 @@ SLOP = 5
 GAP = 64
 SEGMENT_CHARS = 8_000_000
 SEGMENT_DOCS = 100_000
-BLOCK = 50_000
+BLOCK, BLOCK_BYTES = 50_000, 16_000_000
 POSTINGS = "segment long, token string, n int, positions array<int>, doc_ids array<bigint>, lengths array<int>"
 HITS = ("segment long, ordinal int, starts array<int>, ends array<int>, windows array<bigint>, places array<int>, "
         "near_windows array<bigint>, near_places array<int>")
@@ -132,22 +133,21 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
     return windows, held.join(windows, "phrase").select("window", "item")
 
 
-def ordered_windows(index: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Stored (window, block, length, terms), terms as (frequency, term, offsets) from the rarest on,
-    of the windows whose words all occur; (token, term); and the number of blocks."""
+def ordered_windows(index: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored (window, length, terms), terms as (frequency, term, offsets) from the rarest on, of the
+    windows of a block whose words all occur; and (token, term)."""
     words = windows.select("window", F.posexplode(F.split("phrase", " ")).alias("at", "token"))
     of = words.groupBy("window", "token").agg(F.sort_array(F.collect_list("at")).alias("offsets"))
-    # the map side sums each token over a task's segments first
-    found = index.select("token", "n").join(words.select("token").distinct(), "token").groupBy("token").agg(F.sum("n").alias("frequency"))
+    # a block's words; the map side sums each token over a task's segments first
+    asked = F.broadcast(words.select("token").distinct())
+    found = index.select("token", "n").join(asked, "token").groupBy("token").agg(F.sum("n").alias("frequency"))
     terms = stored(found.withColumn("term", F.monotonically_increasing_id()), "terms")
     whole = windows.select("window", F.size(F.split("phrase", " ")).alias("length"),
                            F.size(F.array_distinct(F.split("phrase", " "))).alias("kinds"))
     listed = of.join(terms, "token").groupBy("window").agg(
         F.sort_array(F.collect_list(F.struct("frequency", "term", "offsets"))).alias("terms"))
-    blocks = -(-windows.count() // BLOCK)
-    made = listed.join(whole, "window").where(F.size("terms") == F.col("kinds")).select(
-        "window", F.pmod(F.xxhash64("window"), F.lit(max(blocks, 1))).alias("block"), "length", "terms")
-    return stored(made, "ordered_windows"), terms.select("token", "term"), blocks
+    made = listed.join(whole, "window").where(F.size("terms") == F.col("kinds")).select("window", "length", "terms")
+    return stored(made, "ordered_windows"), terms.select("token", "term")
 
 
 # ---------------------------------------------------------------- searching, in tasks
@@ -254,17 +254,18 @@ def matches(index: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFrame
     from the document's first."""
     if not 0 <= slop <= GAP // 2 - WINDOW - 1:
         raise ValueError("a proximity match must be shorter than half the gap between documents")
-    ordered, terms, blocks = ordered_windows(index, windows)
     spark, out = index.sparkSession, []
+    size = windows.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase"))).first()
+    blocks = max(-(-size[0] // BLOCK), -(-(size[1] or 0) // BLOCK_BYTES))
     for block in range(blocks):
-        mine = ordered.where(F.col("block") == block)
+        ordered, terms = ordered_windows(index, windows.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == block))
         by_rarest: dict = {}
         # about BLOCK rows of at most WINDOW numbers
-        for r in mine.select("window", "length", "terms").toLocalIterator():
+        for r in ordered.toLocalIterator():
             by_rarest.setdefault(r.terms[0].term, []).append((r.window, r.length, [(t.term, t.offsets) for t in r.terms]))
-        used = mine.select(F.explode("terms.term").alias("term")).distinct().join(terms, "term").select("token", "term")
+        used = ordered.select(F.explode("terms.term").alias("term")).distinct().join(terms, "term").select("token", "term")
         used = used.unionByName(spark.createDataFrame([("", -1)], "token string, term long"))
-        rows = index.join(used, "token").select("segment", "term", "positions", "lengths")
+        rows = index.join(F.broadcast(used), "token").select("segment", "term", "positions", "lengths")
         out.append(stored(rows.groupBy("segment").applyInArrow(segment_search(by_rarest, slop), HITS), "window_hits"))
     return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], HITS)
 
