@@ -1,93 +1,26 @@
-"""Nearest k by a pyramid of counted boxes packed along the Z-order.
+"""Nearest k by the pyramid of packed boxes.
 
-Points are sorted once by their cell code and cut into runs of ``LEAF`` rows; a run's bounding box is
-a leaf, ``FAN`` consecutive boxes make a box of the next level, up to a level of at most ``FAN``
-boxes. Boxes follow the density: small in a city, wide over an ocean, all with about the same
-number of points. Sites go down the pyramid together, a level a join: the boxes' counts and greatest
-distances bound a site's k-th distance from above, and boxes whose least distance is beyond that bound are
-left behind. What is left at the bottom are a few leaves a site, whose points are measured exactly.
+Sites go down the pyramid together, a level a join: the boxes' counts and greatest distances bound a
+site's k-th distance from above, and boxes whose least distance is beyond that bound are left behind. What
+is left at the bottom are a few leaves a site, whose points are measured exactly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staygrid.functions import geohash as G
 from staygrid.functions.geodesy import vincenty_distance
-from staygrid.operators.ordered import numbered
+from staygrid.operators.packed import EARTH_MEAN_RADIUS_M, EDGES, MARGIN, RAD, arc, box_distances, packed_points, pyramid
 from staygrid.session import reliable_checkpoint
 
-LEAF = 32
-FAN = 16
-EARTH_MEAN_RADIUS_M = 6371008.8
-#: Geodesics differ from great circles of the mean sphere by less than this share.
-MARGIN = 0.01
-RAD = 3.141592653589793 / 180.0
 
-
-def _arc(lat0: Column, lat: Column, dlng: Column) -> Column:
-    """Great-circle angle between two latitudes (radians) at a difference of longitude."""
-    a = F.pow(F.sin((lat - lat0) / 2), 2) + F.cos(lat0) * F.cos(lat) * F.pow(F.sin(dlng / 2), 2)
-    return F.lit(2.0) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
-
-
-def _turn(degrees: Column) -> Column:
-    """A difference of longitudes as an angle from 0 to 180 degrees."""
-    d = F.abs(degrees)
-    return F.least(d, F.lit(360.0) - d)
-
-
-def box_distances(lat: Column, lng: Column, south: Column, north: Column, west: Column, east: Column) -> tuple[Column, Column]:
-    """Lower and upper bound, in metres, of the geodesic from a point to any point of a box that does not
-    cross 180 deg.
-
-    On a meridian the arc is least where a great circle from the point meets it at a right angle, and
-    greatest opposite of that; both are brought into the box's latitudes and compared with its ends.
-    At one latitude the arc grows with the difference of longitude."""
-    lat0, s, n = lat * RAD, south * RAD, north * RAD
-    inside = (lng >= west) & (lng <= east)
-    near = F.when(inside, F.lit(0.0)).otherwise(F.least(_turn(lng - west), _turn(lng - east))) * RAD
-    opposite = F.when(lng < 0, lng + 180.0).otherwise(lng - 180.0)
-    far = F.when((opposite >= west) & (opposite <= east), F.lit(180.0)).otherwise(
-        F.greatest(_turn(lng - west), _turn(lng - east))) * RAD
-    clamp = lambda x: F.greatest(s, F.least(n, x))
-    foot = lambda d: F.atan2(F.sin(lat0), F.cos(lat0) * F.cos(d))
-    half = F.lit(180.0 * RAD)
-    least = F.least(*[_arc(lat0, x, near) for x in (clamp(foot(near)), s, n)])
-    most = F.greatest(*[_arc(lat0, x, far) for x in (clamp(foot(far) - half), clamp(foot(far) + half), s, n)])
-    # a lone point's box: rounding must not put its least distance above its greatest
-    return least * (EARTH_MEAN_RADIUS_M * (1 - MARGIN)), most * (EARTH_MEAN_RADIUS_M * (1 + MARGIN)) + 0.001
-
-
-def packed_points(points: DataFrame, k: int, point_id: str, lat: str, lng: str) -> DataFrame:
-    """The usable points that can be among any site's k nearest, stored, with ``_leaf``. Of points at the
-    same coordinates only the k of least id can be (all are equally far), so a crowded spot is no
-    bottomless leaf."""
-    usable = points.filter(G.valid_point(F.col(lat), F.col(lng)))
+def first_of_each_place(points: DataFrame, k: int, point_id: str, lat: str, lng: str) -> DataFrame:
+    """The points that can be among any site's k nearest: of those at the same coordinates only the k of
+    least id can be (all are equally far), so a crowded place is no bottomless leaf."""
     same = Window.partitionBy(lat, lng).orderBy(point_id)
-    first = usable.withColumn("_nth", F.row_number().over(same)).filter(F.col("_nth") <= k)
-    coded = G.with_cell_code(first, lat, lng, G.MAX_BITS, "_code")
-    place = numbered(coded, [F.col("_code").asc(), F.col(lat).asc(), F.col(lng).asc(), F.col("_nth").asc()], "_pos")
-    return place.withColumn("_leaf", F.floor(F.col("_pos") / LEAF)).drop("_code", "_pos", "_nth")
-
-
-def pyramid(packed: DataFrame, lat: str, lng: str) -> list[DataFrame]:
-    """Levels from the leaves up: node, parent, n, south, north, west, east, and the box's middle with the
-    greatest distance from it to a point of the box (mid_lat, mid_lng, radius)."""
-    def level(rows, node, edges):
-        made = rows.groupBy(node.alias("node")).agg(
-            F.sum(edges["n"]).alias("n"), F.min(edges["south"]).alias("south"), F.max(edges["north"]).alias("north"),
-            F.min(edges["west"]).alias("west"), F.max(edges["east"]).alias("east"))
-        y, x = (F.col("south") + F.col("north")) / 2, (F.col("west") + F.col("east")) / 2
-        _, most = box_distances(y, x, *[F.col(c) for c in ("south", "north", "west", "east")])
-        return reliable_checkpoint(made.withColumns({"parent": F.floor(F.col("node") / FAN), "mid_lat": y, "mid_lng": x, "radius": most}))
-
-    y, x = F.col(lat).cast("double"), F.col(lng).cast("double")
-    out = [level(packed, F.col("_leaf"), {"n": F.lit(1), "south": y, "north": y, "west": x, "east": x})]
-    while out[-1].count() > FAN:
-        out.append(level(out[-1], F.col("parent"), {c: F.col(c) for c in ("n", "south", "north", "west", "east")}))
-    return out
+    return points.withColumn("_nth", F.row_number().over(same)).filter(F.col("_nth") <= k).drop("_nth")
 
 
 def kept_leaves(sites: DataFrame, levels: list[DataFrame], k: int) -> DataFrame:
@@ -96,16 +29,19 @@ def kept_leaves(sites: DataFrame, levels: list[DataFrame], k: int) -> DataFrame:
     # the one node above the top level, so that a site enters by the same join
     at = sites.withColumns({"node": F.lit(0).cast("long"), "_bound": F.lit(None).cast("double")})
     for depth, level in enumerate(reversed(levels)):
-        children = level.withColumn("_up", F.lit(0).cast("long") if depth == 0 else F.col("parent")).drop("parent") \
-            .withColumnRenamed("node", "_child")
-        least, most = box_distances(F.col("_slat"), F.col("_slng"), *[F.col(c) for c in ("south", "north", "west", "east")])
+        box = [F.col(c) for c in EDGES]
+        y, x = (F.col("south") + F.col("north")) / 2, (F.col("west") + F.col("east")) / 2
+        up = F.lit(0).cast("long") if depth == 0 else F.col("parent")
+        children = level.select(up.alias("_up"), F.col("node").alias("_child"), "n", *EDGES, y.alias("_my"), x.alias("_mx"),
+                                box_distances(y, x, *box)[1].alias("_radius"))
+        least, most = box_distances(F.col("_slat"), F.col("_slng"), *box)
         # a small far box is bounded closer by the distance to its middle, give or take its radius,
         # than by the sphere, whose error grows with the distance
-        middle = F.when(F.col("radius") < F.lit(MARGIN) * most,
-                        vincenty_distance(F.col("_slat"), F.col("_slng"), F.col("mid_lat"), F.col("mid_lng")))
+        middle = F.when(F.col("_radius") < F.lit(MARGIN) * most,
+                        vincenty_distance(F.col("_slat"), F.col("_slng"), F.col("_my"), F.col("_mx")))
         met = at.join(children, F.col("node") == F.col("_up")).withColumn("_mid", F.nanvl(middle, F.lit(None).cast("double")))
-        met = met.withColumns({"_least": F.greatest(least, F.col("_mid") - F.col("radius")),
-                               "_most": F.least(most, F.col("_mid") + F.col("radius"))})
+        met = met.withColumns({"_least": F.greatest(least, F.col("_mid") - F.col("_radius")),
+                               "_most": F.least(most, F.col("_mid") + F.col("_radius"))})
         by_far = Window.partitionBy("_site").orderBy("_most", "_child")
         held = met.withColumn("_held", F.sum("n").over(by_far.rowsBetween(Window.unboundedPreceding, 0)))
         enough = F.min(F.when(F.col("_held") >= k, F.col("_most"))).over(Window.partitionBy("_site"))
@@ -123,11 +59,12 @@ def nearest_k(points: DataFrame, sites: DataFrame, k: int = 1, point_id: str = "
     usable = sites.filter(G.valid_point(F.col("lat"), F.col("lng")))
     named = reliable_checkpoint(usable.select(F.col(id_col).alias("_sid"), F.col("lat").alias("_slat"), F.col("lng").alias("_slng"))
                                 .withColumn("_site", F.monotonically_increasing_id()))
-    packed = packed_points(points, k, point_id, lat, lng)
-    leaves = kept_leaves(named.drop("_sid"), pyramid(packed, lat, lng), k)
+    packed = packed_points(first_of_each_place(points, k, point_id, lat, lng), lat, lng)
+    levels = pyramid(packed, {"south": F.col(lat), "north": F.col(lat), "west": F.col(lng), "east": F.col(lng)})
+    leaves = kept_leaves(named.drop("_sid"), levels, k)
     near = leaves.join(packed, F.col("node") == F.col("_leaf"))
-    arc = _arc(F.col("_slat") * RAD, F.col(lat) * RAD, (F.col(lng) - F.col("_slng")) * RAD) * (EARTH_MEAN_RADIUS_M * (1 - MARGIN))
-    near = near.filter(F.col("_bound").isNull() | (arc <= F.col("_bound")))
+    sphere = arc(F.col("_slat") * RAD, F.col(lat) * RAD, (F.col(lng) - F.col("_slng")) * RAD) * EARTH_MEAN_RADIUS_M
+    near = near.filter(F.col("_bound").isNull() | (sphere * (1 - MARGIN) <= F.col("_bound")))
     measured = near.withColumn("distance_m", vincenty_distance(F.col(lat), F.col(lng), F.col("_slat"), F.col("_slng")))
     order = Window.partitionBy("_site").orderBy("distance_m", point_id)
     first = measured.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from staygrid.operators import nearest
-from staygrid.operators.nearest import box_distances, kept_leaves, nearest_k, packed_points, pyramid
+from staygrid.operators import packed
+from staygrid.operators.nearest import first_of_each_place, kept_leaves, nearest_k
+from staygrid.operators.packed import box_distances, packed_points, pyramid
 from test_geodesy import metres_by_sql
 
 POINT = "id long, lat double, lng double"
@@ -48,8 +49,8 @@ def test_boxes_are_bounded(spark):
 
 @pytest.mark.parametrize("leaf, fan", [(32, 16), (2, 2)])
 def test_brute_force_anywhere(spark, monkeypatch, leaf, fan):
-    monkeypatch.setattr(nearest, "LEAF", leaf)
-    monkeypatch.setattr(nearest, "FAN", fan)
+    monkeypatch.setattr(packed, "LEAF", leaf)
+    monkeypatch.setattr(packed, "FAN", fan)
     rnd = random.Random(7)
     points = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(150)]
     points += [(200 + i, 48.85 + rnd.uniform(-0.01, 0.01), 2.35 + rnd.uniform(-0.01, 0.01)) for i in range(150)]
@@ -67,13 +68,13 @@ def test_a_dense_city_and_an_empty_ocean(spark):
     sites = [(0, 40.7, -74.0), (1, 40.75, -74.1), (2, 41.5, -72.0), (3, 0.0, -150.0), (4, -50.0, -20.0), (5, 40.0, -40.0)]
     sites += [(10 + i, 40.7 + rnd.gauss(0, 0.02), -74.0 + rnd.gauss(0, 0.02)) for i in range(30)]
     k = 5
-    packed = packed_points(spark.createDataFrame(points, POINT), k, "id", "lat", "lng")
-    levels = pyramid(packed, "lat", "lng")
+    rows = packed_points(first_of_each_place(spark.createDataFrame(points, POINT), k, "id", "lat", "lng"))
+    levels = pyramid(rows, {"south": F.col("lat"), "north": F.col("lat"), "west": F.col("lng"), "east": F.col("lng")})
     named = spark.createDataFrame(sites, "_site long, _slat double, _slng double")
     kept = {r["_site"]: r["count"] for r in kept_leaves(named, levels, k).groupBy("_site").count().collect()}
     assert set(kept) == {s[0] for s in sites} and max(kept.values()) <= 40      # of 645 leaves
     assert sum(kept.values()) / len(kept) <= 25
-    assert levels[0].count() * nearest.LEAF >= 20_505 and [lv.count() for lv in levels][-1] <= nearest.FAN
+    assert levels[0].count() * packed.LEAF >= 20_505 and [lv.count() for lv in levels][-1] <= packed.FAN
     few = sites[:8]
     assert found(spark, points, few, k) == brute(points, few, k)
 
