@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staygrid.functions.calendar import day_offsets
+from staygrid.session import reliable_checkpoint
 
 
 def _long_stays(bookings: DataFrame, min_days: int) -> DataFrame:
@@ -84,9 +85,9 @@ def stay_readings(stays: DataFrame, readings: DataFrame, key: str, day: str, val
     without one are left out; NULL where none is left).
 
     The mean is a difference of running sums at the two ends, so its cost does not grow with the
-    length of a stay. ``end`` is not before ``start``."""
-    ends = [stays.select(F.col(key).alias(key), F.col(c).alias(day)) for c in (start, end)]
-    points = running_readings(readings, ends[0].unionByName(ends[1]), key, day, value)
+    length of a stay. ``end`` is not before ``start``. The sums are stored: both ends read them."""
+    wanted = stays.select(F.col(key), F.explode(F.array(start, end)).alias(day))
+    points = reliable_checkpoint(running_readings(readings, wanted, key, day, value))
     numbers = ["total", "n", "nans", "highs", "lows"]
 
     def at(side: str):
@@ -119,7 +120,8 @@ def weather_trend_by_cell(bookings: DataFrame, hotels: DataFrame, cells: DataFra
         raise ValueError("a stay must end after it begins")
     h = hotels.select(F.col("id").alias("h_id"), F.col("geohash").alias("h_cell"))
     stays = _long_stays(bookings, min_days)
-    located = stays.join(h, stays.hotel_id == h.h_id, "left").drop("h_id")
+    # stored, for the days that are looked up and for the stays that look
+    located = reliable_checkpoint(stays.join(h, stays.hotel_id == h.h_id, "left").drop("h_id"))
     c = cells.select(F.col("wthr_date").alias("c_day"), F.col("geohash").alias("h_cell"), "avg_tmpr_c")
     met = stay_readings(located, c, "h_cell", "c_day", "avg_tmpr_c", "srch_ci", "srch_co")
     return _as_rows(met.withColumnsRenamed({"first_value": "checkin_tmpr", "last_value": "checkout_tmpr",
