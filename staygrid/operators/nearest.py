@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from staygrid.functions import geohash as G
 from staygrid.functions.geodesy import vincenty_distance
-from staygrid.operators.packed import EARTH_MEAN_RADIUS_M, EDGES, MARGIN, RAD, arc, box_distances, packed_points, pyramid
+from staygrid.operators.packed import EARTH_MEAN_RADIUS_M, EDGES, MARGIN, RAD, arc, packed_points, pyramid, spread, with_box_distances
 from staygrid.session import reliable_checkpoint
 
 
@@ -27,21 +27,20 @@ def kept_leaves(sites: DataFrame, levels: list[DataFrame], k: int) -> DataFrame:
     """_site, _slat, _slng, _bound, node: the leaves that can hold one of the site's k nearest points;
     ``_bound`` is at least the k-th distance (NULL where there are fewer points)."""
     # the one node above the top level, so that a site enters by the same join
-    at = sites.withColumns({"node": F.lit(0).cast("long"), "_bound": F.lit(None).cast("double")})
+    at = spread(sites, "_site").withColumns({"node": F.lit(0).cast("long"), "_bound": F.lit(None).cast("double")})
     for depth, level in enumerate(reversed(levels)):
-        box = [F.col(c) for c in EDGES]
         y, x = (F.col("south") + F.col("north")) / 2, (F.col("west") + F.col("east")) / 2
         up = F.lit(0).cast("long") if depth == 0 else F.col("parent")
-        children = level.select(up.alias("_up"), F.col("node").alias("_child"), "n", *EDGES, y.alias("_my"), x.alias("_mx"),
-                                box_distances(y, x, *box)[1].alias("_radius"))
-        least, most = box_distances(F.col("_slat"), F.col("_slng"), *box)
+        children = with_box_distances(level.withColumns({"_my": y, "_mx": x}), "_my", "_mx").select(
+            up.alias("_up"), F.col("node").alias("_child"), "n", *EDGES, "_my", "_mx", F.col("_most").alias("_radius"))
+        met = with_box_distances(at.join(children, F.col("node") == F.col("_up")), "_slat", "_slng")
         # a small far box is bounded closer by the distance to its middle, give or take its radius,
         # than by the sphere, whose error grows with the distance
-        middle = F.when(F.col("_radius") < F.lit(MARGIN) * most,
+        middle = F.when(F.col("_radius") < F.col("_most") * MARGIN,
                         vincenty_distance(F.col("_slat"), F.col("_slng"), F.col("_my"), F.col("_mx")))
-        met = at.join(children, F.col("node") == F.col("_up")).withColumn("_mid", F.nanvl(middle, F.lit(None).cast("double")))
-        met = met.withColumns({"_least": F.greatest(least, F.col("_mid") - F.col("_radius")),
-                               "_most": F.least(most, F.col("_mid") + F.col("_radius"))})
+        met = met.withColumn("_mid", F.nanvl(middle, F.lit(None).cast("double")))
+        met = met.withColumns({"_least": F.greatest("_least", F.col("_mid") - F.col("_radius")),
+                               "_most": F.least("_most", F.col("_mid") + F.col("_radius"))})
         by_far = Window.partitionBy("_site").orderBy("_most", "_child")
         held = met.withColumn("_held", F.sum("n").over(by_far.rowsBetween(Window.unboundedPreceding, 0)))
         enough = F.min(F.when(F.col("_held") >= k, F.col("_most"))).over(Window.partitionBy("_site"))
@@ -62,10 +61,15 @@ def nearest_k(points: DataFrame, sites: DataFrame, k: int = 1, point_id: str = "
     packed = packed_points(first_of_each_place(points, k, point_id, lat, lng), lat, lng)
     levels = pyramid(packed, {"south": F.col(lat), "north": F.col(lat), "west": F.col(lng), "east": F.col(lng)})
     leaves = kept_leaves(named.drop("_sid"), levels, k)
-    near = leaves.join(packed, F.col("node") == F.col("_leaf"))
     sphere = arc(F.col("_slat") * RAD, F.col(lat) * RAD, (F.col(lng) - F.col("_slng")) * RAD) * EARTH_MEAN_RADIUS_M
-    near = near.filter(F.col("_bound").isNull() | (sphere * (1 - MARGIN) <= F.col("_bound")))
-    measured = near.withColumn("distance_m", vincenty_distance(F.col(lat), F.col(lng), F.col("_slat"), F.col("_slng")))
+    near = leaves.join(packed, F.col("node") == F.col("_leaf")).withColumn("_arc", sphere).filter(
+        F.col("_bound").isNull() | (F.col("_arc") * (1 - MARGIN) <= F.col("_bound")))
+    # the k-th on the sphere leaves few for the ellipsoid
+    by_arc = Window.partitionBy("_site").orderBy("_arc")
+    kth = F.max(F.when(F.col("_nth") <= k, F.col("_arc"))).over(Window.partitionBy("_site"))
+    close = near.withColumn("_nth", F.row_number().over(by_arc)).withColumn("_kth", kth).filter(
+        F.col("_arc") * (1 - MARGIN) <= F.col("_kth") * (1 + MARGIN))
+    measured = close.withColumn("distance_m", vincenty_distance(F.col(lat), F.col(lng), F.col("_slat"), F.col("_slng")))
     order = Window.partitionBy("_site").orderBy("distance_m", point_id)
     first = measured.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     out = first.join(named.select("_site", "_sid"), "_site")

@@ -1,5 +1,6 @@
 """Nearest k by the pyramid: bounds of boxes, brute force, and how few candidates are left."""
 
+import math
 import random
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from staygrid.operators import packed
 from staygrid.operators.nearest import first_of_each_place, kept_leaves, nearest_k
-from staygrid.operators.packed import box_distances, packed_points, pyramid
+from staygrid.operators.packed import packed_points, pyramid, with_box_distances
 from test_geodesy import metres_by_sql
 
 POINT = "id long, lat double, lng double"
@@ -22,6 +23,11 @@ def brute(points, sites, k):
     return out
 
 
+def vector(lat, lng):
+    y, x = math.radians(lat), math.radians(lng)
+    return math.cos(y) * math.cos(x), math.cos(y) * math.sin(x), math.sin(y)
+
+
 def found(spark, points, sites, k):
     out = nearest_k(spark.createDataFrame(points, POINT), spark.createDataFrame(sites, SITE), k=k)
     return {(r.site_id, r["rank"], r.id) for r in out.collect()}
@@ -37,14 +43,14 @@ def test_boxes_are_bounded(spark):
         rows += [(len(rows), lat, lng, *box, rnd.uniform(box[0], box[1]), rnd.uniform(box[2], box[3])) for _ in range(6)]
         rows += [(len(rows), lat, lng, *box, a, b) for a in box[:2] for b in box[2:]]
     df = spark.createDataFrame(rows, "i int, lat double, lng double, s double, n double, w double, e double, y double, x double")
-    least, most = box_distances(*[F.col(c) for c in ("lat", "lng", "s", "n", "w", "e")])
-    got = df.select("i", least.alias("least"), most.alias("most")).orderBy("i").collect()
+    got = with_box_distances(df, "lat", "lng", "s", "n", "w", "e").select("i", "_least", "_most").orderBy("i").collect()
     true = metres_by_sql([(r[1], r[2], r[7], r[8]) for r in rows])
     # the solver does not converge for nearly opposite points
-    assert all(g.least <= d <= g.most or d != d for g, d in zip(got, true))
+    assert all(g["_least"] <= d <= g["_most"] or d != d for g, d in zip(got, true))
     # and a small far box's bounds lie close together
-    tight = df.selectExpr("0.0 lat", "0.0 lng", "40.0 s", "40.01 n", "50.0 w", "50.01 e").limit(1).select(least.alias("a"), most.alias("b")).first()
-    assert tight.b / tight.a < 1.03
+    tight = spark.range(1).selectExpr("0D lat", "0D lng", "40D south", "40.01D north", "50D west", "50.01D east")
+    bounds = with_box_distances(tight, "lat", "lng").first()
+    assert bounds["_most"] / bounds["_least"] < 1.03
 
 
 @pytest.mark.parametrize("leaf, fan", [(32, 16), (2, 2)])
@@ -75,8 +81,12 @@ def test_a_dense_city_and_an_empty_ocean(spark):
     assert set(kept) == {s[0] for s in sites} and max(kept.values()) <= 40      # of 645 leaves
     assert sum(kept.values()) / len(kept) <= 25
     assert levels[0].count() * packed.LEAF >= 20_505 and [lv.count() for lv in levels][-1] <= packed.FAN
-    few = sites[:8]
-    assert found(spark, points, few, k) == brute(points, few, k)
+    want = set()
+    for s in sites[:8]:
+        # the sphere tells which 200 points are worth the ellipsoid
+        near = sorted(points, key=lambda p: math.acos(max(-1.0, min(1.0, sum(a * b for a, b in zip(vector(*s[1:]), vector(*p[1:])))))))
+        want |= brute([p for p in near if p[0] < 30_000 or p[0] >= 40_000 or p[0] < 30_000 + k][:200], [s], k)
+    assert found(spark, points, sites[:8], k) == want
 
 
 def test_fewer_points_repeats_and_nulls(spark):
