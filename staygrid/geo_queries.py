@@ -10,7 +10,9 @@ from staygrid.operators import geo_cover as gv
 from staygrid.operators import geo_search as gs
 from staygrid.operators.nearest import nearest_k
 from staygrid.operators.profile import column_profile
+from staygrid.operators.z_order import scan_boxes, write_layout
 from staygrid.registry import register, round6
+from staygrid.session import shared_dir
 from staygrid.sources import surrogates as sg
 from staygrid.sources.readers import driver_table
 
@@ -175,3 +177,11 @@ def q_cell_layout(spark, sf_dir):
     """Points laid out in Z-order of their 40-bit cell (range-partitioned, sorted)."""
     pts = sg.points(spark, sf_dir).select("id", "lat", "lng")
     return gc.cluster_by_cell(pts, bits=40)
+
+
+@register("box_scan")
+def q_box_scan(spark, sf_dir):
+    """Points stored in Z-order, and read back by all boxes through ranges of codes."""
+    path = f"{shared_dir(spark, 'cell_layout')}/table"
+    write_layout(sg.points(spark, sf_dir).select("id", "lat", "lng"), path)
+    return scan_boxes(spark, path, sg.boxes(spark, sf_dir)).drop("cell_code")
