@@ -183,6 +183,38 @@ def booking_batches(spark, sf_dir):
     return [("load", first), ("second", second), ("second", second), ("last", b.filter((k % 10 == 9) | wrong))]
 
 
+BUCKETS = 8
+
+
+def stored_by_hotel(spark, sf_dir):
+    """Bookings and hotel descriptions stored with like buckets: (by hotel_id, by id)."""
+    out = []
+    for name, rows, key in (("bookings_by_hotel", sg.bookings(spark, sf_dir), "hotel_id"), ("info_by_hotel", sg.hotel_info(spark, sf_dir), "id")):
+        root = shared_dir(spark, name)
+        table = f"{name}_{root.rsplit('-', 1)[-1]}"
+        ingest_columnar(rows, table, None, key, BUCKETS, path=f"{root}/table")
+        out.append(spark.table(table))
+    return out
+
+
+@register("clean_bookings_bucketed")
+def q_clean_bookings_bucketed(spark, sf_dir):
+    return bk.clean_bucketed(stored_by_hotel(spark, sf_dir)[0])
+
+
+@register("invalid_hotels_bucketed")
+def q_invalid_hotels_bucketed(spark, sf_dir):
+    return bk.invalid_hotels_bucketed(*stored_by_hotel(spark, sf_dir))
+
+
+@register("booking_audit_observed")
+def q_booking_audit_observed(spark, sf_dir):
+    """The audit's counts, observed while the cleaned bookings are written."""
+    counts = bk.write_cleaned(stored_by_hotel(spark, sf_dir)[0], f"{shared_dir(spark, 'cleaned')}/table")
+    names = ["rows_before", "rows_after", "rows_removed", "invalid_hotels"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
 @register("bookings_incremental")
 def q_bookings_incremental(spark, sf_dir):
     """Bookings copied batch by batch into a table partitioned by check-in month, read back."""
