@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staygrid.operators.profile import column_profile
+from staygrid.operators.statistics import merged_statistics, stored_statistics, update_statistics
 from staygrid.plans import bookings as bk
 from staygrid.plans.busy import busy_hotels
 from staygrid.plans.enrichment import daily_cell_weather, enrich_hotels, publish_enrichment, publish_weather
@@ -215,6 +217,25 @@ def q_booking_audit_observed(spark, sf_dir):
     return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
+@register("column_statistics")
+def q_column_statistics(spark, sf_dir):
+    """Statistics of the bookings stored by check-in year, one year at a time, and merged for the table. The
+    sketches' answers come as a test of their error: the share of values up to the median is within 2 % of a half, the
+    distinct count within 3 % of the exact one."""
+    b = sg.bookings(spark, sf_dir).withColumn("ci_year", F.year("srch_ci"))
+    path = f"{shared_dir(spark, 'statistics')}/table"
+    columns = ["id", "user_id", "hotel_id", "srch_adults_cnt", "srch_children_cnt", "date_time"]
+    for year in sorted(r[0] for r in b.select("ci_year").distinct().collect()):
+        update_statistics(b.filter(F.col("ci_year") == year), "ci_year", path, columns)
+    got = merged_statistics(stored_statistics(spark, path))
+    exact = column_profile(b, columns, exact=True).select("column_name", F.col("distinct_count").alias("exact"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.03)
+    middle = b.agg(F.avg((F.col("id") <= got.filter("column_name = 'id'").select("q50").scalar()).cast("double")).alias("m")).first()[0]
+    halved = F.when(F.col("column_name") == "id", F.lit(abs(middle - 0.5) < 0.02))
+    return got.join(exact, "column_name").select("column_name", "null_count", "min_value", "max_value", F.round("avg_length", 6).alias("avg_length"),
+                                                 "max_length", close.alias("distinct_close"), halved.alias("median_close"))
+
+
 @register("bookings_incremental")
 def q_bookings_incremental(spark, sf_dir):
     """Bookings copied batch by batch into a table partitioned by check-in month, read back."""

@@ -81,19 +81,27 @@ class IncrementalCopy:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.path}/table")
 
+    def started(self) -> bool:
+        """Whether a batch has ever come, so that ``read`` knows the columns."""
+        return _exists(self.spark, f"{self.path}/schema")
+
     # ------------------------------------------------------------ writing
 
+    def applied(self, name: str) -> Row | None:
+        """The ledger row of a batch, after any interrupted one has been finished."""
+        self._finish_pending()
+        return self.ledger().filter(F.col("batch") == name).first()
+
     def apply(self, batch: DataFrame, name: str) -> Row:
         """Apply a batch; returns its ledger row. A name already in the ledger is a replay: nothing is
         read or written and the row of the first time comes back. ``superseded`` counts rows of
         the batch that a later row of the same key replaces, repeats included."""
-        self._finish_pending()
-        done = self.ledger().filter(F.col("batch") == name).first()
+        done = self.applied(name)
         if done:
             return done
         if set(batch.columns) & set(OWN):
             raise ValueError(f"the copy keeps {OWN} for itself")
-        if not _exists(self.spark, f"{self.path}/schema"):
+        if not self.started():
             self._prepared(batch).drop("_n").limit(0).write.parquet(f"{self.path}/schema")
         return self._commit(name, self._stage(batch.select(*[c for c in self._stored().columns if c not in OWN]), name))
 

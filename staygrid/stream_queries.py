@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from staygrid.registry import register, round6
 from staygrid.session import shared_dir, utc_session
 from staygrid.sources import surrogates as sg
-from staygrid.streaming import jobs
+from staygrid.sources.readers import driver_table
+from staygrid.streaming import jobs, restate
 
 EVENTS_GLOB = "events.parquet"
 WATERMARK_DELAY = "1 hour"
@@ -68,6 +69,49 @@ def q_stream_enrich_daily(spark, sf_dir):
     return round6(spark.read.parquet(f"{root}/out"), "avg_value")
 
 
+#: Files of a part of a disordered source; a micro-batch takes one part.
+PART_FILES = 4
+
+
+def disordered(spark, rows, key, name, parts=3):
+    """A stream whose ``parts`` micro-batches each hold rows of all times: ``rows`` stored part by part."""
+    path = f"{shared_dir(spark, name)}/source"
+    for part in range(parts):
+        mine = rows.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
+        mine.repartition(PART_FILES).write.mode("append").parquet(path)
+    return jobs.file_stream(spark, path, rows.schema, max_files=PART_FILES)
+
+
+@register("stream_enrich_restated")
+def q_stream_enrich_restated(spark, sf_dir):
+    """``stream_enrich_daily`` over readings that come out of order: later batches bring readings of
+    days long past, which restate their days."""
+    root = shared_dir(spark, "stream_enrich_restated")
+    with utc_session(spark):
+        u = F.col("user_id")
+        readings = jobs.event_time(driver_table(spark, sf_dir, "events"), "ts").select(
+            "event_id", "event_ts", "value", (sg.site_lat(u) + F.lit(READING_LAT_SHIFT)).alias("lat"), sg.site_lng(u).alias("lng"))
+        stream = disordered(spark, readings, "event_id", "restated_source")
+        copy = restate.daily_copy(spark, f"{root}/days", unit="month")
+        restate.restate_days(stream, sg.hotels(spark, sf_dir), copy, f"{root}/late", f"{root}/ckpt", "event_ts", "value",
+                             WATERMARK_DELAY).awaitTermination()
+        day = F.col("day").cast("timestamp_ntz")
+        out = copy.read().select("hotel_id", day.alias("window_start"), (day + F.expr("INTERVAL 1 DAY")).alias("window_end"),
+                                 (F.col("total") / F.col("n_values")).alias("avg_value"), "n")
+    return round6(out, "avg_value")
+
+
+@register("stream_idle_days")
+def q_stream_idle_days(spark, sf_dir):
+    """Idle days kept over a stream of bookings that come out of order, as they stand at its end."""
+    root = shared_dir(spark, "stream_idle_days")
+    bookings = sg.bookings(spark, sf_dir)
+    stream = disordered(spark, bookings.select("id", "hotel_id", "srch_ci"), "id", "idle_source")
+    copy = restate.idle_copy(spark, f"{root}/idle", unit="year")
+    restate.keep_idle_days(stream, copy, f"{root}/ckpt").awaitTermination()
+    return bookings.join(copy.read().select("id", "idle_days"), "id").select(*bookings.columns, "idle_days")
+
+
 @register("stream_publish")
 def q_stream_publish(spark, sf_dir):
     """Events stream -> JSON records (text sink standing in for the topic) -> parsed back."""
