@@ -29,14 +29,15 @@ columns may have any names: only doc_id and text are read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import chain
-from struct import pack
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import BYTE_TABLE, Memo, PreTokens, stored, text_of, to_byte_chars
+from staygrid.llm.bpe_codec import merge_of
+from staygrid.llm.common import BYTE_TABLE, stored, text_of
 from staygrid.llm.probminhash import mix64
 from staygrid.llm.token_files import store_of
 from staygrid.session import shared_dir
@@ -46,6 +47,8 @@ BUCKETS = 256
 SLICE = 1_000_000
 #: Chunks, and their characters, that a task remembers.
 ROOM, ROOM_CHARS = 400_000, 8_000_000
+#: New chunks that A encodes as one text.
+TOGETHER = 400
 #: Distinct pairs a task gathers before it hands them on.
 HELD = 3_000_000
 CACHE_BYTES = 256_000_000
@@ -115,17 +118,41 @@ def bucket_of(keys):
 
 # ---------------------------------------------------------------- aligning, in tasks
 
+def same_by_rank(spec: str) -> bool:
+    """Whether merging by the tokens' ranks makes the tokens of a tokenizer file: it is a plain byte-level BPE, and
+    the merge that makes each token is the last one that lower ranks alone arrive at. Merges then come in
+    the order of ranks on both sides, and at a token's rank its bytes are split as they are when alone."""
+    made = json.loads(spec)
+    model, before = made["model"], made["pre_tokenizer"] or {}
+    plain = (made["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+             and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                                                         "byte_fallback", "ignore_merges")))
+    if not plain:
+        return False
+    back = {c: b for b, c in BYTE_TABLE.items()}
+    as_bytes = lambda token: bytes(back[c] for c in token)
+    added = {t["id"] for t in made["added_tokens"]}
+    ranks = {as_bytes(t): i for t, i in model["vocab"].items() if i not in added}
+    merges = [tuple(map(as_bytes, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    longer = sorted((i, t) for t, i in ranks.items() if len(t) > 1)
+    return all(bytes([b]) in ranks for b in range(256)) and merges == [merge_of(t, ranks) for _, t in longer]
+
+
 class Aligner:
     """Both tokenizers, and the links of a list of chunks."""
 
-    def __init__(self, spec: str, pattern: str, pieces: bytes):
+    def __init__(self, spec: str, pieces: bytes, pattern: str | None = None):
+        import os
+
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
         self.np = np
-        whole = Tokenizer.from_str(spec)
-        self.model, self.find, self.memo = whole.model, PreTokens(pattern), Memo(self.packed, 300_000)
+        whole = self.a = Tokenizer.from_str(spec)
+        whole.encode_special_tokens = True
         back = {c: b for b, c in BYTE_TABLE.items()}
         self.a_bytes = [b""] * whole.get_vocab_size()
         for token, i in whole.get_vocab(with_added_tokens=False).items():
@@ -135,23 +162,32 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(shown)]
         self.a_len, self.b_len = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
         self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
+        #: The engine of ranks, where it makes the same tokens (``same_by_rank``).
+        self.by_rank = None
+        if pattern:
+            from tiktoken import Encoding
+
+            ranks = {x: i for i, x in enumerate(self.a_bytes) if x}
+            self.by_rank = Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         #: No piece of B runs from another character into a blank, so none crosses a chunk's border.
         self.by_chunk = not any("▁" in p.lstrip("▁") for p in shown)
 
-    def packed(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(to_byte_chars(piece))]
-        return pack(f"<{len(ids)}q", *ids)
-
-    def a_ids(self, text: str):
-        return self.np.frombuffer(b"".join(map(self.memo.__getitem__, self.find(text))), dtype="<i8")
+    def a_ids(self, texts: list[str]):
+        """A's ids of the texts, laid end to end."""
+        if self.by_rank:
+            made = map(self.by_rank.encode_ordinary, texts)
+        else:
+            made = (e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False))
+        return self.np.fromiter(chain.from_iterable(made), dtype=self.np.int64)
 
     def a_side(self, chunks: list[str], sizes):
         """A's ids of blank + chunk, laid end to end, and their number by chunk. Chunks that end in white
-        space go one by one; the others' pre-tokens are found in one text, as if they followed each other."""
+        space go one by one; the others are encoded some together, as if they followed each other."""
         np = self.np
         closed = np.array([bool(c) and not c[-1].isspace() for c in chunks], dtype=bool)
-        lone = [self.a_ids(" " + chunks[i]) for i in np.flatnonzero(~closed)]
-        together = self.a_ids("".join([" " + c for c, ok in zip(chunks, closed) if ok]))
+        lone = [self.a_ids([" " + chunks[i]]) for i in np.flatnonzero(~closed)]
+        follow = [" " + c for c, ok in zip(chunks, closed) if ok]
+        together = self.a_ids(["".join(follow[i:i + TOGETHER]) for i in range(0, len(follow), TOGETHER)])
         n = np.zeros(len(chunks), np.int64)
         n[~closed] = [len(x) for x in lone]
         # a token belongs to the chunk in whose bytes it ends
@@ -331,11 +367,12 @@ def merged(keys: list, counts: list):
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
-def _models(df: DataFrame, tokenizer_path: str, pieces_path: str):
-    """Both tokenizer files, of fixed size, as broadcasts."""
-    sc = df.sparkSession.sparkContext
+def _models(df: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str | None):
+    """An Aligner's arguments as a broadcast: both tokenizer files, of fixed size, and the pattern of A's pre-tokens
+    where A may go by ranks."""
     with open(tokenizer_path, encoding="utf-8") as f, open(pieces_path, "rb") as g:
-        return sc.broadcast(f.read()), sc.broadcast(g.read())
+        spec, pieces = f.read(), g.read()
+    return df.sparkSession.sparkContext.broadcast((spec, pieces, pattern if pattern and same_by_rank(spec) else None))
 
 
 def _docs(df: DataFrame) -> DataFrame:
@@ -344,15 +381,19 @@ def _docs(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- counts
 
-def pair_parts(docs: DataFrame, spec, pieces, pattern: str) -> DataFrame:
+def pair_parts(docs: DataFrame, models) -> DataFrame:
     """Per task and key bucket: sorted distinct pairs and how often the task's links hold each."""
 
     def run(batches: Iterator):
+        import gc
+
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
         chunks, keys, counts = None, [], []
+        # nothing here forms cycles, and the chunks held are many to look through
+        gc.disable()
         part = TaskContext.get().partitionId() << 20
 
         def rows():
@@ -378,10 +419,10 @@ def pair_parts(docs: DataFrame, spec, pieces, pattern: str) -> DataFrame:
 
         for batch in batches:
             if chunks is None:
-                chunks, seen = Chunks(Aligner(spec.value, pattern, pieces.value)), np.zeros(0, np.int64)
+                chunks, seen = Chunks(Aligner(*models.value)), np.zeros(0, np.int64)
             for texts in slices(batch.column(1).to_pylist()):
-                placed = [i for rows_of in chunks.place(texts) for i in rows_of or ()]
-                more = np.bincount(np.array(placed, dtype=np.int64), minlength=chunks.size)
+                placed = chain.from_iterable(rows_of for rows_of in chunks.place(texts) if rows_of)
+                more = np.bincount(np.fromiter(placed, dtype=np.int64), minlength=chunks.size)
                 more[:len(seen)] += seen
                 seen = more
                 if not chunks.full():
@@ -396,6 +437,7 @@ def pair_parts(docs: DataFrame, spec, pieces, pattern: str) -> DataFrame:
             gather()
         if sum(map(len, keys)):
             yield rows()
+        gc.enable()
 
     return stored(docs.mapInArrow(run, PAIRS), "pair_parts")
 
@@ -565,12 +607,11 @@ class PairCounts:
         return out
 
 
-def pair_counts(df: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str) -> DataFrame:
+def pair_counts(df: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str | None = None) -> DataFrame:
     """Counts every linked pair of the corpus; the stored row a bucket that ``align`` reads."""
     from sentencepiece import SentencePieceProcessor
 
-    spec, pieces = _models(df, tokenizer_path, pieces_path)
-    parts = pair_parts(_docs(df), spec, pieces, pattern)
+    parts = pair_parts(_docs(df), _models(df, tokenizer_path, pieces_path, pattern))
     functions = key_functions(parts)
     n_b = SentencePieceProcessor(model_file=pieces_path).get_piece_size()
     return write_buckets(functions, count_vectors(parts, functions), shared_dir(df.sparkSession, "pair_buckets"), n_b)
@@ -593,10 +634,10 @@ def count_table(files: DataFrame, n_b: int) -> DataFrame:
     return files.select("bucket", "file").mapInArrow(run, "a long, b long, n long")
 
 
-def align(df: DataFrame, files: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str) -> DataFrame:
+def align(df: DataFrame, files: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str | None = None) -> DataFrame:
     """Second pass: each document's tokens, groups and links, with the counts of ``files``."""
     sc = df.sparkSession.sparkContext
-    spec, pieces = _models(df, tokenizer_path, pieces_path)
+    models = _models(df, tokenizer_path, pieces_path, pattern)
     # one short row a bucket, one number an id of B
     paths = {r.bucket: r.file for r in files.select("bucket", "file").collect()}
     tops = files.select(F.explode(F.arrays_zip("ids", "best")).alias("p")).groupBy(F.col("p.ids").alias("b")).agg(
@@ -604,15 +645,17 @@ def align(df: DataFrame, files: DataFrame, tokenizer_path: str, pieces_path: str
     known = sc.broadcast({r.b: r.top for r in tops})
 
     def run(batches: Iterator):
+        import gc
         from hashlib import sha256
 
         import numpy as np
         import pyarrow as pa
 
         chunks = None
+        gc.disable()
         for batch in batches:
             if chunks is None:
-                aligner, counts = Aligner(spec.value, pattern, pieces.value), PairCounts(paths)
+                aligner, counts = Aligner(*models.value), PairCounts(paths)
                 top = np.zeros(aligner.n_b, np.int64)
                 for i, n in known.value.items():
                     top[i] = n
@@ -626,22 +669,29 @@ def align(df: DataFrame, files: DataFrame, tokenizer_path: str, pieces_path: str
                 chunks = Chunks(aligner, score, show=True)
             out = []
             for texts in slices(batch.column(1).to_pylist()):
-                for rows in chunks.place(texts):
+                placed = chunks.place(texts)
+                held = [rows for rows in placed if rows]
+                starts = np.cumsum([0] + [len(rows) for rows in held])[:-1]
+                flat = np.fromiter(chain.from_iterable(held), dtype=np.int64)
+                sums = iter(np.add.reduceat(chunks.numbers[flat], starts).tolist() if held else ())
+                for rows in placed:
                     if rows is None:
                         out.append((0, 0, 0, 0, 0, 0, ""))
                         continue
                     groups = "".join(map(chunks.shown.__getitem__, rows))[:-1]
-                    out.append((*chunks.numbers[rows].sum(0).tolist(), sha256(groups.encode()).hexdigest()))
+                    out.append((*next(sums), sha256(groups.encode()).hexdigest()))
                 if chunks.full():
                     chunks.forget()
             cols = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.string())],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+        gc.enable()
 
     return _docs(df).mapInArrow(run, LINKS)
 
 
-def alignment_report(df: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str) -> DataFrame:
-    """Counts the pairs of ``df`` and aligns it with them."""
+def alignment_report(df: DataFrame, tokenizer_path: str, pieces_path: str, pattern: str | None = None) -> DataFrame:
+    """Counts the pairs of ``df`` and aligns it with them. ``pattern`` is that of A's pre-tokens; with it, A runs
+    on the faster engine of ranks if that provably makes the same tokens."""
     return align(df, pair_counts(df, tokenizer_path, pieces_path, pattern), tokenizer_path, pieces_path, pattern)

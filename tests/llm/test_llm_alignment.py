@@ -13,8 +13,8 @@ from staygrid.llm.common import BYTE_TABLE
 from staygrid.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-JSON, MODEL, PATTERN = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
-                        public_tokenizers.PATTERN)
+PATTERN = public_tokenizers.PATTERN
+JSON, MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 class Plain:
@@ -101,32 +101,32 @@ def test_query_equals_brute_force(spark):
     assert order(tuple(r) for r in QUERIES["op12_alignment"](spark, SF).collect()) == order(want)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_edges(spark, monkeypatch, small):
+@pytest.mark.parametrize("small, pattern", [(False, None), (False, PATTERN), (True, PATTERN), (True, None)])
+def test_edges(spark, monkeypatch, small, pattern):
     """Odd texts; with ``small`` also many parts, several rounds of both trees and slices of a text each."""
     if small:
-        for name, value in (("FAN", 2), ("HELD", 20), ("SLICE", 1), ("ROOM", 3)):
+        for name, value in (("FAN", 2), ("HELD", 20), ("SLICE", 1), ("ROOM", 3), ("TOGETHER", 2)):
             monkeypatch.setattr(alignment, name, value)
     rows = [(i if i != 8 else None, t) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     docs = docs.select("*", *[F.lit(1).alias(c) for c in ("n_a", "bucket", "part", "keys", "counts", "g", "groups", "n")])
     want, count = brute(rows)
-    got = alignment.alignment_report(docs.repartition(7), JSON, MODEL, PATTERN).collect()
+    got = alignment.alignment_report(docs.repartition(7), JSON, MODEL, pattern).collect()
     assert order(tuple(r) for r in got) == order(want)
-    files = alignment.pair_counts(docs.repartition(7), JSON, MODEL, PATTERN)
+    files = alignment.pair_counts(docs.repartition(7), JSON, MODEL, pattern)
     table = {(r.a, r.b): r.n for r in alignment.count_table(files, 32000).collect()}
     assert table == dict(count)
     none = docs.where("false")
-    assert alignment.alignment_report(none, JSON, MODEL, PATTERN).count() == 0
-    assert alignment.alignment_report(docs.where("text is null"), JSON, MODEL, PATTERN).collect()[0][1:] == (0,) * 6 + ("",)
+    assert alignment.alignment_report(none, JSON, MODEL).count() == 0
+    assert alignment.alignment_report(docs.where("text is null"), JSON, MODEL).collect()[0][1:] == (0,) * 6 + ("",)
 
 
 def test_counts_of_another_corpus(spark):
     """Pairs that the counted corpus lacks count zero."""
     one = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
     other = spark.createDataFrame([(2, "zebra quartz"), (3, "some words here")], "doc_id long, text string")
-    files = alignment.pair_counts(one, JSON, MODEL, PATTERN)
-    got = {r.doc_id: r for r in alignment.align(other, files, JSON, MODEL, PATTERN).collect()}
+    files = alignment.pair_counts(one, JSON, MODEL)
+    got = {r.doc_id: r for r in alignment.align(other, files, JSON, MODEL).collect()}
     assert got[2].count_sum == 0 and got[2].n_links > 0
     assert got[3].count_sum == got[3].n_links == got[3].n_best
 
@@ -143,8 +143,36 @@ def test_perfect_hash(n):
 
 def test_bucket_cache_is_bounded(spark):
     docs = spark.createDataFrame([(i, f"word {i} and {i * 7}") for i in range(200)], "doc_id long, text string")
-    files = {r.bucket: r.file for r in alignment.pair_counts(docs, JSON, MODEL, PATTERN).collect()}
+    files = {r.bucket: r.file for r in alignment.pair_counts(docs, JSON, MODEL).collect()}
     wide, narrow = alignment.PairCounts(files), alignment.PairCounts(files, room=100)
     keys = np.concatenate([wide.bucket(i)[1] for i in files])
     assert (wide(keys) == narrow(keys)).all() and wide(keys).min() >= 1
     assert len(narrow.held) < len(wide.held) == len(files)
+
+
+def test_ranks_are_used_only_where_they_make_the_same_tokens():
+    import json
+
+    with open(JSON, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert alignment.same_by_rank(json.dumps(spec))
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}):
+        assert not alignment.same_by_rank(json.dumps(spec | change))
+    # two merges in the other order, and a merge of other parts
+    merges = spec["model"]["merges"]
+    swapped = [merges[1], merges[0], *merges[2:]]
+    assert not alignment.same_by_rank(json.dumps(spec | {"model": spec["model"] | {"merges": swapped}}))
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        assert not alignment.same_by_rank(f.read())
+
+
+def test_both_engines_of_a_agree():
+    import random
+
+    with open(JSON, encoding="utf-8") as f, open(MODEL, "rb") as g:
+        spec, pieces = f.read(), g.read()
+    plain, ranked = alignment.Aligner(spec, pieces), alignment.Aligner(spec, pieces, PATTERN)
+    rnd = random.Random(6)
+    alphabet = "aaabcdeetthhe  \n\t\r'sßéñ½²Ⅷ一二😀漢字\x1c\x85_-.,!12345\u3000\u200b"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 60))) for _ in range(4000)]
+    assert plain.a_ids(texts).tolist() == ranked.a_ids(texts).tolist()
