@@ -45,10 +45,6 @@ def _c(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def _long(v) -> Column:
-    return F.lit(v).cast("long")
-
-
 def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
@@ -75,86 +71,9 @@ def valid_point(lat: Column, lng: Column) -> Column:
             & (F.abs(lat) <= 90.0) & (F.abs(lng) <= 180.0))
 
 
-def axis_index(v: Column, lo: float, span: float, nbits) -> Column:
-    """Index of the bisection interval holding ``v`` among 2^nbits equal intervals.
-
-    ``floor`` of the scaled value can be off by one next to an interval edge; the edges
-    lo + k*span/2^n are exact doubles, so comparing against them fixes the index exactly
-    (a value on an edge belongs to the upper interval, as bisection keeps ``v >= mid`` up).
-    """
-    cells = F.pow(F.lit(2.0), _c(nbits))
-    top = (cells - 1).cast("long")
-    k0 = F.least(F.greatest(F.floor((v - lo) / span * cells).cast("long"), _long(0)), top)
-    width = F.lit(span) / cells
-    below = F.when(v < F.lit(lo) + k0 * width, _long(1)).otherwise(_long(0))
-    above = F.when(v >= F.lit(lo) + (k0 + 1) * width, _long(1)).otherwise(_long(0))
-    return F.least(k0 - below + above, top)
-
-
 _TABLE_SQL: dict[int, str] = {}
 
 
-def _table(values) -> Column:
-    """The table as one array literal (a single parsed expression, folded to a constant)."""
-    key = id(values)
-    if key not in _TABLE_SQL:
-        _TABLE_SQL[key] = "array(" + ", ".join(f"{int(v)}L" for v in values) + ")"
-    return F.expr(_TABLE_SQL[key])
-
-
-def _lookup(table: list[int], idx: Column) -> Column:
-    return F.element_at(_table(table), (idx + 1).cast("int"))
-
-
-def _spread(v: Column) -> Column:
-    """Bits of a value < 2^32 moved to the even positions (4 byte lookups, so the input is
-    referenced 4 times instead of once per bit or per mask step)."""
-    out = None
-    for j in range(4):
-        part = F.shiftleft(_lookup(_SPREAD8, F.shiftright(v, 8 * j).bitwiseAND(_long(255))), 16 * j)
-        out = part if out is None else out.bitwiseOR(part)
-    return out
-
-
-def _compact(v: Column) -> Column:
-    """Even-position bits of a 64-bit value gathered into 32 bits (8 byte lookups)."""
-    out = None
-    for j in range(8):
-        part = F.shiftleft(_lookup(_EVEN4, F.shiftright(v, 8 * j).bitwiseAND(_long(255))), 4 * j)
-        out = part if out is None else out.bitwiseOR(part)
-    return out
-
-
-def combine(x, y, bits) -> Column:
-    """Interleave axis-index columns into a right-aligned code of ``bits`` bits.
-    Pass column names/attributes (not large expressions): each input is reused."""
-    sx, sy = _spread(_col(x).cast("long")), _spread(_col(y).cast("long"))
-    even = F.shiftleft(sx, 1).bitwiseOR(sy)
-    odd = sx.bitwiseOR(F.shiftleft(sy, 1))
-    known = _col(x).isNotNull() & _col(y).isNotNull()
-    if isinstance(bits, int):
-        return F.when(known, even if bits % 2 == 0 else odd)
-    return F.when(known, F.when(bits % 2 == 0, even).otherwise(odd))
-
-
-def split(code, bits) -> tuple[Column, Column]:
-    """Inverse of ``combine``: (x, y) axis indexes of a right-aligned code column."""
-    c = _col(code)
-    hi, lo = _compact(F.shiftright(c, 1)), _compact(c)
-    hi, lo = F.when(c.isNotNull(), hi), F.when(c.isNotNull(), lo)
-    if isinstance(bits, int):
-        return (hi, lo) if bits % 2 == 0 else (lo, hi)
-    even = bits % 2 == 0
-    return F.when(even, hi).otherwise(lo), F.when(even, lo).otherwise(hi)
-
-
-def cell_xy(lat: Column, lng: Column, bits) -> tuple[Column, Column]:
-    ok = valid_point(lat, lng)
-    x = F.when(ok, axis_index(lng, -180.0, 360.0, lng_bits(bits)))
-    y = F.when(ok, axis_index(lat, -90.0, 180.0, lat_bits(bits)))
-    return x, y
-
-
 def code_to_geohash(code, precision) -> Column:
     """Base-32 text of a 5p-bit code (p characters, leading zeros kept)."""
     text = F.translate(F.conv(_col(code).cast("string"), 10, 32), _CONV32, ALPHABET)
@@ -179,15 +98,9 @@ def cell_bounds(x, y, bits) -> dict[str, Column]:
             "center_lat": south + h / 2, "center_lng": west + w / 2}
 
 
-def prefix_code(code, from_bits, to_bits) -> Column:
-    """Code of the enclosing cell with ``to_bits`` (<= from_bits) bits."""
-    return shr(code, _c(from_bits) - _c(to_bits))
-
-
 # ---------------------------------------------------------------- SQL-text builders
 # The DataFrame helpers below build each cell expression as one SQL string (one parsed
-# expression per column) instead of hundreds of Column calls; the arithmetic is the same
-# as in the Column functions above, operation for operation.
+# expression per column) instead of hundreds of Column calls.
 
 def _n(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -215,6 +128,11 @@ def valid_point_sql(lat: str, lng: str) -> str:
 
 
 def axis_index_sql(v: str, lo: float, span: float, nbits_sql: str) -> str:
+    """Index of the bisection interval holding ``v`` among 2^nbits equal intervals.
+
+    ``floor`` of the scaled value can be off by one next to an interval edge; the edges
+    lo + k*span/2^n are exact doubles, so comparing against them fixes the index exactly
+    (a value on an edge belongs to the upper interval, as bisection keeps ``v >= mid`` up)."""
     cells = f"pow(2.0D, {nbits_sql})"
     top = f"CAST({cells} - 1 AS BIGINT)"
     k0 = f"least(greatest(CAST(floor(({v} - {_d(lo)}) / {_d(span)} * {cells}) AS BIGINT), 0L), {top})"

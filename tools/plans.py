@@ -19,7 +19,7 @@ from staygrid.session import build_session  # noqa: E402
 
 KEYS = ["hotel_weather_enriched", "temp_range_topk", "busy_hotels", "weather_trend", "idle_days",
         "clean_bookings", "bookings_by_country", "cell_rollup", "points_in_boxes", "radius_search",
-        "geo_extent", "cell_steps"]
+        "nearest_hotels", "boxes_intersect", "box_scan", "clean_bookings_bucketed", "invalid_hotels_bucketed", "geo_extent", "cell_steps"]
 
 
 def condense(line: str) -> str:
