@@ -9,7 +9,7 @@ scaled forward-backward recursion over its whole training texts and emits its ex
 Spark sums; their size does not grow with the corpus. A text counts one start. A text's score is
 log10 of its exact probability: the scaled forward recursion over the whole text.
 
-Word counts cover all training texts. Counts of the most frequent words, at most ``FREQUENT``, go to every
+Word counts cover all training texts. Counts of the most frequent words, about ``FREQUENT``, go to every
 task; other words of a text are joined with the table of counts. Texts are those whose
 crc32(doc_id) mod 7 is not 2; a null id counts as the empty text. Null text is empty: one end token.
 Repeated rows are scored each and count each. Without training texts all counts are 0.
@@ -54,18 +54,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int = FREQUENT) -> list[tuple[str, int]]:
-    """At most ``most`` words, all those from some count on, greatest first. The count is chosen on a
-    histogram over logarithmic steps, so partitions send only words that are taken."""
+    """About ``most`` words of the greatest counts, greatest first. The least count is chosen on a
+    histogram over logarithmic steps, so partitions send only words that are taken. Of a step that does not fit
+    as a whole, words are taken by their hash as far as there is room: where many words have
+    equal counts, none of them is more frequent than the others."""
     step = F.floor(F.log2(F.col("c")) * 64)
-    taken, least = 0, None
+    taken, wanted = 0, F.lit(False)
     for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        room = most - taken
+        share = min(1.0, room / r["count"])
+        drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+        wanted = (step > r["step"]) | ((step == r["step"]) & drawn)
         taken += r["count"]
-        if taken > most:
+        if taken >= most:
             break
-        least = r["step"]
-    if least is None:
-        return []
-    rows = counts.where(step >= least).collect()
+    rows = counts.where(wanted).collect()
     return sorted(((r["word"], r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 

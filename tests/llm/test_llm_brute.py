@@ -487,3 +487,15 @@ def test_expansion_equals_kernel_machine(wide):
     words = ["idiot", "idxiot", "moronic", "xyz", "scum", "ab", "", "一丁丂", "aaaaaaaaaaaaaaaaaaaaaaaa"]
     want = toxicity.kernel(words, marks) @ alpha - 0.5
     assert np.allclose(machine.margins(words), want, atol=1e-4)
+
+
+def test_frequent_words_of_equal_counts(spark):
+    """Where a step of counts does not fit, part of it is taken, never none of it."""
+    equal = spark.range(6000).select(F.concat(F.lit("w"), F.col("id")).alias("word"), F.lit(3).cast("long").alias("c"))
+    got = hidden_markov.most_frequent(equal, 1000)
+    assert 900 <= len(got) <= 1100 and len({w for w, _ in got}) == len(got)
+    mixed = equal.unionByName(spark.createDataFrame([(f"top{i}", 100 + i) for i in range(50)], "word string, c long"))
+    got = hidden_markov.most_frequent(mixed, 1000)
+    assert [w for w, _ in got[:50]] == [f"top{i}" for i in reversed(range(50))] and 900 <= len(got) <= 1100
+    assert len(hidden_markov.most_frequent(mixed, 10_000)) == 6050
+    assert hidden_markov.most_frequent(mixed.where("false"), 10) == []
