@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from staygrid.functions import geohash as G
 from staygrid.functions.geodesy import vincenty_distance
-from staygrid.operators.packed import EARTH_MEAN_RADIUS_M, EDGES, MARGIN, RAD, arc, packed_points, pyramid, spread, with_box_distances
+from staygrid.operators.packed import EARTH_MEAN_RADIUS_M, EDGES, MARGIN, RAD, arc, packed_points, pyramid, spread, with_box_distances, with_top
 from staygrid.session import reliable_checkpoint
 
 
@@ -26,14 +26,13 @@ def first_of_each_place(points: DataFrame, k: int, point_id: str, lat: str, lng:
 def kept_leaves(sites: DataFrame, levels: list[DataFrame], k: int) -> DataFrame:
     """_site, _slat, _slng, _bound, node: the leaves that can hold one of the site's k nearest points;
     ``_bound`` is at least the k-th distance (NULL where there are fewer points)."""
-    # the one node above the top level, so that a site enters by the same join
-    at = spread(sites, "_site").withColumns({"node": F.lit(0).cast("long"), "_bound": F.lit(None).cast("double")})
+    at = spread(sites, "_site").withColumn("_bound", F.lit(None).cast("double"))
     for depth, level in enumerate(reversed(levels)):
         y, x = (F.col("south") + F.col("north")) / 2, (F.col("west") + F.col("east")) / 2
-        up = F.lit(0).cast("long") if depth == 0 else F.col("parent")
         children = with_box_distances(level.withColumns({"_my": y, "_mx": x}), "_my", "_mx").select(
-            up.alias("_up"), F.col("node").alias("_child"), "n", *EDGES, "_my", "_mx", F.col("_most").alias("_radius"))
-        met = with_box_distances(at.join(children, F.col("node") == F.col("_up")), "_slat", "_slng")
+            F.col("parent").alias("_up"), F.col("node").alias("_child"), "n", *EDGES, "_my", "_mx", F.col("_most").alias("_radius"))
+        paired = with_top(at, children) if depth == 0 else at.join(children, F.col("node") == F.col("_up"))
+        met = with_box_distances(paired, "_slat", "_slng")
         # a small far box is bounded closer by the distance to its middle, give or take its radius,
         # than by the sphere, whose error grows with the distance
         middle = F.when(F.col("_radius") < F.col("_most") * MARGIN,
