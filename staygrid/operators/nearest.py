@@ -61,7 +61,7 @@ def nearest_k(points: DataFrame, sites: DataFrame, k: int = 1, point_id: str = "
     levels = pyramid(packed, {"south": F.col(lat), "north": F.col(lat), "west": F.col(lng), "east": F.col(lng)})
     leaves = kept_leaves(named.drop("_sid"), levels, k)
     sphere = arc(F.col("_slat") * RAD, F.col(lat) * RAD, (F.col(lng) - F.col("_slng")) * RAD) * EARTH_MEAN_RADIUS_M
-    near = leaves.join(packed, F.col("node") == F.col("_leaf")).withColumn("_arc", sphere).filter(
+    near = leaves.hint("merge").join(packed, F.col("node") == F.col("_leaf")).withColumn("_arc", sphere).filter(
         F.col("_bound").isNull() | (F.col("_arc") * (1 - MARGIN) <= F.col("_bound")))
     # the k-th on the sphere leaves few for the ellipsoid
     by_arc = Window.partitionBy("_site").orderBy("_arc")
