@@ -58,6 +58,17 @@ def test_profile_exact_and_approx(spark):
     assert approx == {"n": 2, "s": 2}
 
 
+def test_exact_profile_expands_no_rows(spark):
+    """A distinct count's rows hold its own column only, so a task's memory does not grow with the others."""
+    df = spark.createDataFrame([(i % 7, f"v{i % 5}" if i % 4 else None, float(i)) for i in range(200)], "n long, s string, d double")
+    out = column_profile(df, exact=True)
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.columns == column_profile(df).columns
+    assert {r.column_name: r.distinct_count for r in out.collect()} == {"n": 7, "s": 5, "d": 200}
+    none = {r.column_name: (r.null_count, r.distinct_count) for r in column_profile(df.where("false"), exact=True).collect()}
+    assert none == {"n": (0, 0), "s": (0, 0), "d": (0, 0)}
+
+
 def test_bucketed_lag_equals_window(spark):
     rng = random.Random(8)
     base = dt.datetime(2024, 1, 1)
