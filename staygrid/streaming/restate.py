@@ -6,8 +6,6 @@ batch that Spark runs again after a failure changes nothing twice.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,8 +75,49 @@ def late_readings(spark: SparkSession, late_path: str, schema: T.StructType) ->
 
 # ---------------------------------------------------------------- idle days that bookings in between correct
 
-IDLE = "id long, hotel_id long, srch_ci date, idle_days int"
-STATE = "dates array<int>, firsts array<bigint>"
+IDLE = "id long, hotel long, day int, idle_days int"
+STATE = "hotels array<bigint>, days array<int>, firsts array<bigint>"
+#: Groups of hotels that share a state. A stream keeps its number for its checkpoint's life.
+HOTEL_GROUPS = 2048
+#: Group of the bookings without a hotel, day of those without a date, id of those without an id (which sort first).
+NO_HOTEL, NO_DAY, NO_ID = -1, -(2 ** 31), -(2 ** 63)
+
+
+def idle_rows(held, came):
+    """(rows, kept): what a batch of one group changes, and its state after it. ``held`` are arrays of hotel,
+    day and first booking, a row a hotel and day in their order; ``came`` those of the batch's bookings.
+
+    Days of both are laid in order, so that a day's first booking is the least of both, and its idle
+    days reach back to the hotel's day before it."""
+    import numpy as np
+    import pandas as pd
+
+    rows = pd.DataFrame(dict(zip(("hotel", "day", "id"), came)))
+    new = rows[rows["day"] != NO_DAY].groupby(["hotel", "day"], as_index=False)["id"].min()
+    hotel, day, first = (np.concatenate([np.asarray(h, np.int64), new[c].to_numpy(np.int64)]) for h, c in zip(held, ("hotel", "day", "id")))
+    if not len(hotel):
+        return rows.assign(idle_days=0).drop_duplicates(["hotel", "id"])[["id", "hotel", "day", "idle_days"]], (hotel, day, first)
+    old = np.arange(len(hotel)) < len(held[0])
+    order = np.lexsort((first, day, hotel))
+    hotel, day, first, old = hotel[order], day[order], first[order], old[order]
+    # a day is there twice at most: as it was held and as it came
+    head = np.ones(len(hotel), bool)
+    head[1:] = (hotel[1:] != hotel[:-1]) | (day[1:] != day[:-1])
+    twin = np.append(~head[1:], False)[head]
+    second = np.append(first[1:], 0)[head]
+    leads = old[head]
+    hotel, day, first = hotel[head], day[head], first[head]
+    known, displaced = leads | twin, twin & ~leads & (second != first)
+    same = np.append(False, hotel[1:] == hotel[:-1])
+    idle = np.where(same, day - np.append(0, day[:-1]), 0)
+    # a day's idle days change with its first booking, and when the day before it is new
+    changed = ~known | displaced | (same & np.append(False, ~known[:-1]))
+    days = pd.DataFrame({"hotel": hotel, "day": day, "first": first, "idle_days": idle})
+    own = rows.merge(days, on=["hotel", "day"], how="left")
+    own["idle_days"] = np.where(own["first"] == own["id"], own["idle_days"], 0)
+    lost = days[displaced].assign(id=second[displaced], idle_days=0)
+    out = pd.concat([x[["id", "hotel", "day", "idle_days"]] for x in (days[changed].assign(id=first[changed]), lost, own)])
+    return out.drop_duplicates(["hotel", "id"]), (hotel, day, first)
 
 
 def idle_changes(bookings: DataFrame) -> DataFrame:
@@ -87,43 +126,26 @@ def idle_changes(bookings: DataFrame) -> DataFrame:
     the former first booking of a date when one of lower id comes.
 
     The state of a hotel is its dates and their first bookings: a row a calendar day at most, however many
-    bookings it has. A booking without a date has 0 idle days and changes none; a NULL hotel is a
-    hotel; bookings have ids, each its own."""
+    bookings it has. Hotels share the states of ``HOTEL_GROUPS`` groups, so that a batch is worked
+    through in as many calls, and not in one a hotel. A booking without a date has 0 idle days and changes
+    none; a NULL hotel is a hotel; bookings have ids, each its own."""
     def update(key, frames, state):
-        from datetime import date
-
         import pandas as pd
 
-        dates, firsts = (list(x) for x in state.get) if state.exists else ([], [])
         rows = pd.concat(list(frames))
-        days = rows["srch_ci"].map(lambda d: None if pd.isna(d) else d.toordinal())
-        # every booking but the first of its date has none; the firsts follow
-        idle = dict.fromkeys(rows["id"].tolist(), 0)
-        when = dict(zip(rows["id"].tolist(), days.tolist()))
-        touched = set()
-        for day, first in rows.assign(_day=days).dropna(subset=["_day"]).groupby("_day")["id"].min().items():
-            day, first = int(day), int(first)
-            at = bisect_left(dates, day)
-            if at == len(dates) or dates[at] != day:
-                dates.insert(at, day)
-                firsts.insert(at, first)
-                touched |= {day, dates[at + 1] if at + 1 < len(dates) else day}
-            elif first < firsts[at]:
-                idle[firsts[at]], when[firsts[at]] = 0, day
-                firsts[at] = first
-                touched.add(day)
-        for day in touched:
-            at = bisect_left(dates, day)
-            idle[firsts[at]], when[firsts[at]] = (day - dates[at - 1] if at else 0), day
-        state.update((dates, firsts))
-        ids = list(idle)
-        ordinal = [when[i] for i in ids]
-        yield pd.DataFrame({"id": pd.array(ids, "Int64"), "hotel_id": pd.array([None if key[0] else key[1]] * len(ids), "Int64"),
-                            "srch_ci": [None if o is None or o != o else date.fromordinal(int(o)) for o in ordinal],
-                            "idle_days": pd.array([idle[i] for i in ids], "Int32")})
-
-    keyed = bookings.select("id", "srch_ci", F.col("hotel_id").isNull().alias("_none"), F.coalesce("hotel_id", F.lit(0)).cast("long").alias("_hotel"))
-    return keyed.groupBy("_none", "_hotel").applyInPandasWithState(update, IDLE, STATE, "update", GroupStateTimeout.NoTimeout)
+        held = state.get if state.exists else ([], [], [])
+        out, kept = idle_rows(held, [rows[c].to_numpy() for c in ("hotel", "day", "id")])
+        state.update(tuple(x.tolist() for x in kept))
+        yield out.astype({"day": "int32", "idle_days": "int32"}).assign(none=key[0] == NO_HOTEL)[["none", *out.columns]]
+
+    hotel = F.col("hotel_id").cast("long")
+    group = F.when(hotel.isNull(), NO_HOTEL).otherwise(F.pmod(F.xxhash64(hotel), F.lit(HOTEL_GROUPS)).cast("int"))
+    # no NULLs go to the calls: pandas would make floats of the whole numbers
+    keyed = bookings.select(F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.unix_date("srch_ci"), F.lit(NO_DAY)).alias("day"),
+                            F.coalesce(hotel, F.lit(0)).alias("hotel"), group.alias("_group"))
+    changes = keyed.groupBy("_group").applyInPandasWithState(update, f"none boolean, {IDLE}", STATE, "update", GroupStateTimeout.NoTimeout)
+    return changes.select(F.nullif("id", F.lit(NO_ID)).alias("id"), F.when(~F.col("none"), F.col("hotel")).alias("hotel_id"),
+                          F.when(F.col("day") != NO_DAY, F.date_from_unix_date("day")).alias("srch_ci"), "idle_days")
 
 
 def keep_idle_days(bookings: DataFrame, copy: IncrementalCopy, checkpoint: str) -> StreamingQuery:

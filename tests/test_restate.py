@@ -84,3 +84,27 @@ def test_a_batch_run_again_changes_nothing(spark):
         first = copy.read().collect()
         copy.apply(totals.withColumn("total", F.lit(99.0)), "batch-000000000")
         assert copy.read().collect() == first
+
+
+def test_idle_days_of_many_hotels_share_calls(spark):
+    """A group's rows are worked through at once: as many calls as groups, whatever the hotels, and the batch's
+    result after every batch."""
+    rnd = random.Random(7)
+    held, last, came = ([], [], []), {}, []
+    for _ in range(6):
+        batch = [(rnd.randrange(40), rnd.choice([restate.NO_DAY] + list(range(-20, 20))), i) for i in rnd.sample(range(10_000), 120)]
+        batch = [b for b in batch if b[2] not in {c[2] for c in came}]
+        came += batch
+        out, held = restate.idle_rows(held, list(zip(*batch)))
+        last |= {r.id: (r.hotel, r.day, r.idle_days) for r in out.itertuples()}
+        want = {}
+        for h, d, i in came:
+            days = sorted({x for g, x, _ in came if g == h and x != restate.NO_DAY and x < d})
+            first = d != restate.NO_DAY and i == min(j for g, x, j in came if (g, x) == (h, d))
+            want[i] = (h, d, d - days[-1] if first and days else 0)
+        assert last == want
+        again, same = restate.idle_rows(held, list(zip(*batch)))
+        assert {r.id: (r.hotel, r.day, r.idle_days) for r in again.itertuples()}.items() <= want.items()
+        assert all((a == b).all() for a, b in zip(same, held))
+    none, state = restate.idle_rows(([], [], []), ([3, 3], [restate.NO_DAY] * 2, [8, 9]))
+    assert [tuple(r) for r in none.to_numpy().tolist()] == [(8, 3, restate.NO_DAY, 0), (9, 3, restate.NO_DAY, 0)] and not any(len(x) for x in state)
