@@ -1,14 +1,14 @@
 """Personal data and information-theoretic sanitisation (operator 4), in DataFrame operations only.
 
 Base spans are emails, addresses (ip), card and phone numbers, found leftmost without overlap per
-kind over whole texts. Matched values are protected entities. A term within ``REACH`` words of an
-entity discloses it by the share of the entity's information that the term gives away:
+kind over whole texts. Matched values are protected entities. A term of a text that holds an entity,
+wherever it stands, discloses it by the share of the entity's information that the term gives away:
 
     disclosure(c, t) = PMI(c; t) / IC(c) = log(n_ct * N / (n_c * n_t)) / log(N / n_c)
 
-with N documents, n_c of them holding the entity, n_t the term and n_ct the term near the entity:
-1 when the term occurs with this entity only. Terms near an entity in at least ``SUPPORT``
-different texts whose disclosure reaches ``GENERALISE`` become spans of kind ``term`` (shown by a
+with N documents, n_c of them holding the entity, n_t the term and n_ct both: 1 when the term
+occurs with this entity only. Terms are words of four letters or more; those of the entity itself are
+none of its terms. Terms that meet an entity in at least ``SUPPORT`` different texts and whose disclosure reaches ``GENERALISE`` become, at each of their places in these texts, spans of kind ``term`` (shown by a
 general label), those from ``REMOVE`` on spans of kind ``hidden`` (taken out). Counts cover all
 documents. Documents without personal data get no spans.
 
@@ -19,7 +19,7 @@ ends exclusive. Only doc_id and text are read; other columns of a rewritten tabl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staygrid.llm.common import stored, text_of
@@ -40,9 +40,7 @@ POSSIBLE = {"email": r"@[A-Za-z0-9-]++\.", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9
             "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 LABEL = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "hidden": ""}
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
-REACH = 5
-#: Characters looked at on either side of an entity for its REACH words.
-REACH_CHARS = 120
+WORD = r"\p{L}++"
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.999
@@ -104,37 +102,38 @@ def base_spans(text: Column) -> Column:
         .otherwise(none) for k in KINDS])
 
 
-def _near_terms(text: Column, span: Column) -> Column:
-    """Spans of the words within REACH words of an entity (letters only, four or more)."""
-    first = F.greatest(span["start"] - REACH_CHARS, F.lit(0))
-    left = F.substring(text, first + 1, span["start"] - first)
-    right = F.substring(text, span["end"] + 1, F.lit(REACH_CHARS))
-
-    def words(part: Column, at: Column, whole_start: Column, whole_end: Column) -> Column:
-        # a word that the cut may have shortened is left out
-        inside = F.filter(located(part, "term", r"\p{L}++"), lambda s: (whole_start | (s["start"] > 0)) & (
-            whole_end | (s["end"] < F.length(part))))
-        return F.transform(inside, lambda s: F.struct(F.lower(s["value"]).alias("term"), (s["start"] + at).alias("start"),
-                                                      (s["end"] + at).alias("end")))
-
-    before = F.slice(F.reverse(words(left, first, first == 0, F.lit(True))), 1, REACH)
-    after = F.slice(words(right, span["end"], F.lit(True), F.length(right) < REACH_CHARS), 1, REACH)
-    return F.filter(F.concat(before, after), lambda s: F.length(s["term"]) >= 4)
-
-
 def entity_value(kind: Column, value: Column) -> Column:
     return F.when(kind.isin("card", "phone"), _digits(value)).otherwise(F.lower(value))
 
 
 def found_spans(df: DataFrame) -> DataFrame:
-    """doc_id, text_key, base: a row a document, without its text; stored. Where there are
-    spans, ``near`` has the terms about each of them in the same order."""
+    """doc_id, text_key, base, text: a row a document; stored. The text is there where it has spans."""
     text = text_of()
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
                      text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    near = F.when(F.size("base") > 0, F.transform("base", lambda s: _near_terms(F.col("text"), s))).otherwise(
-        F.array().cast("array<array<struct<term:string,start:int,end:int>>>"))
-    return stored(docs.select("doc_id", "text_key", "base", near.alias("near")), "pii_spans")
+    return stored(docs.select("doc_id", "text_key", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii_spans")
+
+
+def text_terms(spans: DataFrame) -> DataFrame:
+    """text_key, term, start, end, own: every term of the texts that have base spans, a text once; ``own``
+    is the email the word is part of (entities of the other kinds have no letters)."""
+    texts = spans.where(F.size("base") > 0).dropDuplicates(["text_key"]).select(
+        "text_key", F.filter("base", lambda s: s["kind"] == "email").alias("mails"),
+        F.transform(F.split("text", WORD, -1), lambda g: F.length(g)).alias("gap"),
+        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("word"))
+    each = texts.select("text_key", "mails", F.posexplode(F.arrays_zip("gap", "word")).alias("at", "z")).select(
+        "text_key", "mails", "at", F.col("z.gap").alias("gap"), F.col("z.word").alias("word"))
+    before = Window.partitionBy("text_key").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.where(F.col("word").isNotNull()).withColumn("end", F.sum(F.col("gap") + F.length("word")).over(before).cast("int"))
+    placed = placed.withColumn("start", F.col("end") - F.length("word"))
+    own = F.get(F.filter("mails", lambda m: (m["start"] < F.col("end")) & (m["end"] > F.col("start"))), F.lit(0))["value"]
+    return placed.select("text_key", F.lower("word").alias("term"), "start", "end", F.lower(own).alias("own")).where(F.length("term") >= 4)
+
+
+def text_entities(spans: DataFrame) -> DataFrame:
+    """text_key, kind, entity: the different entities of each text."""
+    each = spans.where(F.size("base") > 0).select("text_key", F.explode("base").alias("s"))
+    return each.select("text_key", F.col("s.kind").alias("kind"), entity_value(F.col("s.kind"), F.col("s.value")).alias("entity")).distinct()
 
 
 def term_frequencies(df: DataFrame) -> DataFrame:
@@ -145,24 +144,26 @@ def term_frequencies(df: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(df: DataFrame, spans: DataFrame, generalise: float = GENERALISE) -> DataFrame:
-    """kind, entity, term, disclosure, for the pairs at or above the threshold."""
-    total = spans.count()
-    held = spans.where(F.size("base") > 0).select(
-        "doc_id", "text_key", F.explode(F.arrays_zip("base", "near")).alias("z")).select(
-        "doc_id", "text_key", F.col("z.base.kind").alias("kind"),
-        entity_value(F.col("z.base.kind"), F.col("z.base.value")).alias("entity"), F.col("z.near").alias("near"))
+    """kind, entity, term, disclosure, for the pairs at or above the threshold.
+
+    As n_ct is n_c at most, a term can reach the threshold only where n_t is at most N^(1 - t) n_c^t: frequent
+    terms are left out before texts' entities and terms are paired, and no pair is lost."""
+    n = F.lit(float(max(spans.count(), 1)))
     # copies of a text share its key, so a document row is (text, how many rows); ids may be null
     rows = spans.where(F.size("base") > 0).groupBy("text_key").agg(F.count("*").alias("copies"))
-    per_text = held.select("text_key", "kind", "entity", F.explode(F.transform("near", lambda s: s["term"])).alias("term")) \
-        .distinct().join(rows, "text_key")
-    entities = held.select("text_key", "kind", "entity").distinct().join(rows, "text_key") \
-        .groupBy("kind", "entity").agg(F.sum("copies").alias("n_c"))
-    pairs = per_text.groupBy("kind", "entity", "term").agg(F.sum("copies").alias("n_ct"),
-                                                           F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
-    known = pairs.join(entities, ["kind", "entity"]).join(term_frequencies(df), "term")
-    n = F.lit(float(max(total, 1)))
+    held = text_entities(spans).join(rows, "text_key")
+    entities = held.groupBy("kind", "entity").agg(F.sum("copies").alias("n_c"), F.count("*").alias("in_texts")).where(
+        (F.col("in_texts") >= SUPPORT) & (F.col("n_c") < n)).select(
+        "kind", "entity", "n_c", ((1 - generalise) * F.log(n) + generalise * F.log("n_c") + 1e-9).alias("most"))
+    terms = text_terms(spans).select("text_key", "term", "own").distinct().join(term_frequencies(df), "term")
+    pairs = held.join(entities, ["kind", "entity"]).join(terms, "text_key").where(
+        (F.log("n_t") <= F.col("most")) & ~((F.col("kind") == "email") & F.col("own").eqNullSafe(F.col("entity"))))
+    # a term within an email and beside it is one pair of the text
+    pairs = pairs.select("text_key", "kind", "entity", "term", "copies", "n_c", "n_t").distinct()
+    known = pairs.groupBy("kind", "entity", "term", "n_c", "n_t").agg(
+        F.sum("copies").alias("n_ct"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
     share = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))) / F.log(n / F.col("n_c"))
-    return known.where(F.col("n_c") < n).withColumn("disclosure", F.least(share, F.lit(1.0))) \
+    return known.withColumn("disclosure", F.least(share, F.lit(1.0))) \
         .where(F.col("disclosure") >= generalise - 1e-12).select("kind", "entity", "term", "disclosure")
 
 
@@ -171,13 +172,10 @@ def sanitised_spans(df: DataFrame, generalise: float = GENERALISE, remove: float
     spans = found_spans(df)
     terms = disclosing_terms(df, spans, generalise)
     # every row of a text has the same spans, so the work is done once a text
-    texts = spans.where(F.size("base") > 0).groupBy("text_key").agg(F.max(F.struct("base", "near")).alias("z"))
-    each = texts.select("text_key", F.explode(F.arrays_zip("z.base", "z.near")).alias("z")).select(
-        "text_key", F.col("z.base.kind").alias("kind"),
-        entity_value(F.col("z.base.kind"), F.col("z.base.value")).alias("entity"), F.explode("z.near").alias("t"))
-    flagged = each.select("text_key", "kind", "entity", F.col("t.term").alias("term"), F.col("t.start").alias("start"),
-                          F.col("t.end").alias("end")).join(terms, ["kind", "entity", "term"])
-    flagged = flagged.groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("d"))
+    told = text_entities(spans).join(terms, ["kind", "entity"])
+    places = text_terms(spans).join(told, ["text_key", "term"]).where(
+        ~((F.col("kind") == "email") & F.col("own").eqNullSafe(F.col("entity"))))
+    flagged = places.groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("d"))
     kind = F.when(F.col("d") >= remove, "hidden").otherwise("term")
     # a text's spans are as many as its words at most
     added = flagged.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct(

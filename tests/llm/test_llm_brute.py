@@ -179,6 +179,26 @@ def test_disclosing_terms(spark):
     assert all(clean[i] == t for i, t in rows if i not in range(1000, 1004))
 
 
+def test_disclosing_terms_stand_anywhere(spark):
+    """A term discloses an entity of its text wherever it stands: many words away, behind long padding, in a
+    text of many words; the entity's own words do not, another email's do."""
+    far = {"ahead": "zorblax " + "common " * 30 + "{m}", "behind": "{m} " + "- " * 300 + "zorblax", "long": "{m} " + "common " * 3000 + "zorblax and zorblax"}
+    rows = [(i, f"common words and {i} here") for i in range(300)]
+    rows += [(1000 + i, t.format(m="person.a@x.org")) for i, t in enumerate(far.values())]
+    rows += [(2000 + i, f"see {i} quillfeather.b@y.org or +1 555 010 999{i % 1}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = disclosure.found_spans(df)
+    terms = {(r.entity, r.term) for r in disclosure.disclosing_terms(df, found).collect()}
+    assert terms == {("person.a@x.org", "zorblax"), ("15550109990", "quillfeather")}
+    report = {r.doc_id: r for r in disclosure.span_report(df).collect()}
+    for i, t in rows[300:303]:
+        places = [(m.start(), m.end()) for m in re.finditer("zorblax", t)]
+        assert report[i].spans.split(",")[1:] == [f"hidden:{a}:{b}" for a, b in places]
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(df).collect()}
+    assert not any("zorblax" in t or "quill" in t for t in clean.values())
+    assert all(clean[i] == t for i, t in rows[:300])
+
+
 # ---------------------------------------------------------------- 7: fingerprints
 
 def test_edited_texts_and_likeness(spark, texts):
