@@ -44,5 +44,5 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
     counts = reduce(DataFrame.unionByName, [
         df.agg(F.count_distinct(F.col(c)).alias("_n")).select(F.lit(i).alias("_i"), "_n") for i, c in enumerate(cols)])
     # a number a column
-    held = counts.agg(F.map_from_entries(F.collect_list(F.struct("_i", "_n"))).alias("_held"))
-    return out.crossJoin(held).withColumn("distinct_count", F.col("_held")[F.col("_i")]).drop("_i", "_held")
+    held = counts.agg(F.map_from_entries(F.collect_list(F.struct("_i", "_n"))).alias("held")).scalar()
+    return out.withColumn("distinct_count", held[F.col("_i")]).drop("_i")
